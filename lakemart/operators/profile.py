@@ -43,10 +43,10 @@ def complete_periods(orders: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, n) for each listed column, from one scan of ``df``."""
+    """(column_name, value, n) for each listed column, from one scan of ``df``."""
     pairs = ", ".join(f"'{c}', CAST({c} AS STRING)" for c in columns)
-    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column, value)")
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, value)")
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def categories(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
@@ -54,7 +54,7 @@ def categories(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> D
     for t, cols in columns.items():
         vc = value_counts(tables[t], cols)
         out = vc if out is None else out.unionByName(vc)
-    return out.orderBy("column", F.col("n").desc(), "value")
+    return out.orderBy("column_name", F.col("n").desc(), "value")
 
 
 def numeric(lineitem: DataFrame) -> DataFrame:

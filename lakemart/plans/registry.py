@@ -72,7 +72,7 @@ def _ingest_stamp(e: Env) -> DataFrame:
     for t in TABLES:
         src = e.base if t in RAW_TABLES else e.fx_source
         b = LazyLayers(src, e.config, stamp=True).bronze(t)
-        one = b.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+        one = b.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
                     F.count_distinct(refine.INGESTED_AT).alias("distinct_stamps"),
                     F.count(refine.INGESTED_AT).alias("stamped_rows"))
         out = one if out is None else out.unionByName(one)
