@@ -57,15 +57,15 @@ def customer_activity(customer: DataFrame, orders: DataFrame, as_of: dt.date | C
 
 def customer_activity_latest(customer: DataFrame, orders: DataFrame, window_days: int = 365) -> DataFrame:
     """``customer_activity`` with as_of = the last order date in the data,
-    computed in the plan (a one-row aggregate cross-joined, no collect)."""
-    as_of = orders.agg(F.max("o_orderdate").alias("_as_of"))
+    computed in the plan as a scalar subquery (no collect, no join)."""
+    as_of = orders.agg(F.max("o_orderdate")).scalar()
     last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("_last"))
     joined = customer.select("c_custkey", "c_name").join(
         last, F.col("c_custkey") == F.col("o_custkey"), "left")
     out = joined.groupBy("c_custkey", "c_name").agg(F.max("_last").alias("last_order_date"))
-    return out.crossJoin(F.broadcast(as_of)).select(
+    return out.select(
         "c_custkey", "c_name", "last_order_date",
-        active_flag(F.col("last_order_date"), F.col("_as_of"), window_days).alias("is_active_trailing_12m"))
+        active_flag(F.col("last_order_date"), as_of, window_days).alias("is_active_trailing_12m"))
 
 
 def _contribution(dim: DataFrame, key: str, name: str, lineitem: DataFrame, fact_key: str) -> DataFrame:

@@ -29,10 +29,9 @@ def weekly_revenue(revenue_metrics: DataFrame) -> DataFrame:
 
 
 def drop_first_week(weekly: DataFrame) -> DataFrame:
-    """Remove the earliest week, without collecting it to the driver."""
-    first = weekly.agg(F.min("week_start").alias("_first"))
-    return (weekly.crossJoin(F.broadcast(first))
-            .where(F.col("week_start") != F.col("_first")).drop("_first"))
+    """Remove the earliest week; the minimum is a scalar subquery, computed
+    once by Spark, never collected to the driver."""
+    return weekly.where(F.col("week_start") != weekly.agg(F.min("week_start")).scalar())
 
 
 def complete_weeks_only(weekly: DataFrame, orders: DataFrame) -> DataFrame:

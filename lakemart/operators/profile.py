@@ -17,8 +17,8 @@ def order_dates(orders: DataFrame, customer: DataFrame) -> DataFrame:
     o = orders.agg(
         F.min(day).alias("first_order"), F.max(day).alias("last_order"),
         F.count(F.lit(1)).alias("orders"), F.count_distinct("o_custkey").alias("customers_with_orders"))
-    c = customer.agg(F.count(F.lit(1)).alias("customers_total"))
-    return o.crossJoin(c)
+    total = customer.agg(F.count(F.lit(1))).scalar()
+    return o.select("*", total.alias("customers_total"))
 
 
 def weeks(orders: DataFrame) -> DataFrame:

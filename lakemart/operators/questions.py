@@ -83,8 +83,8 @@ def _top_share(mart: DataFrame, key: str, n: int) -> DataFrame:
     TakeOrdered, the total a plain aggregate (no global sort of the mart)."""
     rev = "total_revenue_contribution"
     top = mart.orderBy(F.col(rev).desc(), F.col(key).asc()).limit(n).agg(F.sum(rev).alias("_top"))
-    total = mart.agg(F.sum(rev).alias("_total"))
-    return top.crossJoin(total).select((F.col("_top").cast("double") / F.col("_total").cast("double")).alias("share"))
+    total = mart.agg(F.sum(rev)).scalar()
+    return top.select((F.col("_top").cast("double") / total.cast("double")).alias("share"))
 
 
 def q4_company_health(revenue_metrics: DataFrame, orders: DataFrame, customer_activity: DataFrame,
@@ -102,9 +102,11 @@ def q4_company_health(revenue_metrics: DataFrame, orders: DataFrame, customer_ac
         "last_complete_quarter", "quarter_revenue", "prev_quarter_revenue",
         F.round(as_double_ratio(F.col("quarter_revenue"), F.col("prev_quarter_revenue")) * 100, 2)
         .alias("revenue_qoq_pct"))
-    active = q2_active_customers(customer_activity).select(F.col("active_customers_count").alias("active_customers"))
-    sup = _top_share(top_suppliers, "s_suppkey", n).select(F.col("share").alias("top_supplier_share"))
-    par = _top_share(top_parts, "p_partkey", n).select(F.col("share").alias("top_part_share"))
-    return head.crossJoin(active).crossJoin(sup).crossJoin(par).select(
+    # One-row parts as scalar subqueries: each runs once, no join.
+    active = q2_active_customers(customer_activity).scalar()
+    sup = _top_share(top_suppliers, "s_suppkey", n).scalar()
+    par = _top_share(top_parts, "p_partkey", n).scalar()
+    return head.select(
         "last_complete_quarter", "quarter_revenue", "prev_quarter_revenue", "revenue_qoq_pct",
-        "active_customers", F.lit(n).alias("top_n"), "top_supplier_share", "top_part_share")
+        active.alias("active_customers"), F.lit(n).alias("top_n"),
+        sup.alias("top_supplier_share"), par.alias("top_part_share"))

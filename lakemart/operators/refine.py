@@ -26,12 +26,17 @@ def reject_condition(contract: TableContract) -> Column:
     return any_of([c for c, _ in contract.reject])
 
 
-def reason_column(contract: TableContract) -> Column:
-    """First matching branch wins; ``Unknown error`` otherwise."""
+def _first_match(contract: TableContract) -> Column:
+    """Reason of the first matching branch; NULL when none matches."""
     expr = None
     for condition, reason in contract.reject:
         expr = F.when(cond(condition), F.lit(reason)) if expr is None else expr.when(cond(condition), F.lit(reason))
-    return expr.otherwise(F.lit(UNKNOWN_REASON))
+    return expr
+
+
+def reason_column(contract: TableContract) -> Column:
+    """First matching branch wins; ``Unknown error`` otherwise."""
+    return _first_match(contract).otherwise(F.lit(UNKNOWN_REASON))
 
 
 def silver_projection(df: DataFrame, contract: TableContract) -> list[Column]:
@@ -64,13 +69,19 @@ def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) ->
     ``strict=True`` also sends the NULL-gap rows here (as ``Unknown error``),
     so bronze = silver + quarantine always holds.
     """
-    reject = reject_condition(contract)
     if strict:
-        reject = is_true(reject) | ~is_true(accept_condition(contract))
-    elif contract.reject_hint:
-        # Implied by ``reject``; lets the Parquet reader skip clean row groups.
-        reject = cond(contract.reject_hint) & reject
-    return df.where(reject).select(*df.columns, reason_column(contract).alias(REASON))
+        reject = is_true(reject_condition(contract)) | ~is_true(accept_condition(contract))
+        return df.where(reject).select(*df.columns, reason_column(contract).alias(REASON))
+    # A row is rejected exactly when some branch matches, i.e. when the CASE
+    # without ELSE is not NULL. Filtering on that (rather than ANDing the hint
+    # with the OR of branches, which the optimizer factors back into one OR)
+    # keeps the hint a separate conjunct that reaches the Parquet reader.
+    # The pre-filter is implied by every reject branch: the hint, or the OR of
+    # the branches themselves when they compare raw columns only.
+    pre = cond(contract.reject_hint) if contract.reject_hint else reject_condition(contract)
+    df_in = df.where(pre)
+    reason = _first_match(contract)
+    return df_in.select(*df.columns, reason.alias(REASON)).where(F.col(REASON).isNotNull())
 
 
 def unaccounted(df: DataFrame, contract: TableContract) -> DataFrame:

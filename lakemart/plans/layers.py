@@ -45,11 +45,10 @@ class Layers:
     def balance(self, t: str) -> DataFrame:
         """bronze_received / silver_delivered / quarantine_rejected counts."""
         q = self.quarantine(t)
-        b = self.bronze(t).agg(F.count(F.lit(1)).alias("bronze_received"))
-        s = self.silver(t).agg(F.count(F.lit(1)).alias("silver_delivered"))
-        qc = (q.agg(F.count(F.lit(1)).alias("quarantine_rejected")) if q is not None
-              else self.spark.range(1).select(F.lit(0).cast("bigint").alias("quarantine_rejected")))
-        out = b.crossJoin(s).crossJoin(qc)
+        s = self.silver(t).agg(F.count(F.lit(1))).scalar()
+        qc = q.agg(F.count(F.lit(1))).scalar() if q is not None else F.lit(0).cast("bigint")
+        out = self.bronze(t).agg(F.count(F.lit(1)).alias("bronze_received")).select(
+            "bronze_received", s.alias("silver_delivered"), qc.alias("quarantine_rejected"))
         return out.select(
             F.lit(t).alias("table_name"), "bronze_received", "silver_delivered", "quarantine_rejected",
             (F.col("silver_delivered") + F.col("quarantine_rejected")).alias("total_accounted"),

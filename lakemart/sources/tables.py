@@ -89,3 +89,17 @@ class DerivedSource(Source):
 
 def read_all(source: Source, names: Iterable[str]) -> dict[str, DataFrame]:
     return {n: source.table(n) for n in names if source.has(n)}
+
+
+class FrameSource(Source):
+    """Tables given directly as DataFrames (e.g. a view the caller built)."""
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame]):
+        self.spark = spark
+        self.frames = dict(frames)
+
+    def has(self, name: str) -> bool:
+        return name in self.frames
+
+    def table(self, name: str) -> DataFrame:
+        return self.frames[name]
