@@ -105,18 +105,18 @@ def _frame_parts(df: DataFrame, checks: list[Check], width: int) -> DataFrame:
     for i, c in enumerate(checks):
         alias = f"_m{i}"
         if c.kind == "where":
-            aggs.append(count_if(is_true(cond(c.condition))).alias(alias))
+            aggs.append(f"count_if(coalesce({c.condition}, false)) AS {alias}")
             items.append((c, f"{c.sign} * {alias}", "NULL"))
         elif c.kind == "rows":
-            aggs.append(F.count(F.lit(1)).alias(alias))
+            aggs.append(f"count(1) AS {alias}")
             items.append((c, f"{c.sign} * {alias}", "NULL"))
         elif c.kind == "revenue":
-            expr = F.col(c.condition) if c.condition else net_revenue()
-            aggs.append(F.coalesce(F.sum(expr).cast(REVENUE_TYPE), F.lit(0).cast(REVENUE_TYPE)).alias(alias))
+            expr = c.condition or "l_extendedprice * (1 - l_discount)"
+            aggs.append(f"coalesce(CAST(sum({expr}) AS {REVENUE_TYPE}), CAST(0 AS {REVENUE_TYPE})) AS {alias}")
             items.append((c, "0", f"{c.sign} * {alias}"))
         else:
             raise ValueError(c.kind)
-    return _long(df.agg(*aggs), items, width)
+    return _long(df.selectExpr(*aggs), items, width)
 
 
 def _any_null(cols) -> Column:
@@ -193,7 +193,15 @@ def evaluate(layers, checks: list[Check], width: int | None = None) -> DataFrame
     width = width or max(len(c.labels) for c in checks)
     frames: dict[Frame, DataFrame | None] = {}
 
+    # In lazy layers without a stamp, bronze *is* the source plan: share the
+    # frame so both row counts come from one aggregate (one scan).
+    same_source = getattr(layers, "stamp", True) is False
+
+    def canon(fr: Frame) -> Frame:
+        return ("bronze", fr[1]) if same_source and fr[0] == "source" else fr
+
     def get(fr: Frame) -> DataFrame | None:
+        fr = canon(fr)
         if fr not in frames:
             frames[fr] = frame_df(layers, fr)
         return frames[fr]
@@ -207,7 +215,7 @@ def evaluate(layers, checks: list[Check], width: int | None = None) -> DataFrame
             if get(c.frame) is None:  # absent table (e.g. no quarantine): contributes 0
                 empty_ids.append(c)
             else:
-                local[c.frame].append(c)
+                local[canon(c.frame)].append(c)
         elif c.kind == "duplicates":
             parts.append(_duplicates(get(c.frame), c, width))
         elif c.kind == "orphans":
@@ -235,5 +243,14 @@ def evaluate(layers, checks: list[Check], width: int | None = None) -> DataFrame
     if empty_ids:
         spark = layers.spark
         parts.append(_long(spark.range(1), [(c, "0", "NULL") for c in empty_ids], width))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return _finish(out, width)
+    return _finish(union_all(parts), width)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """One n-ary UNION ALL (analysed once), not a chain of pairwise unions.
+    All parts come from ``_long`` and share one column order."""
+    if len(parts) == 1:
+        return parts[0]
+    names = {f"p{i}": p for i, p in enumerate(parts)}
+    sql = " UNION ALL ".join(f"SELECT * FROM {{{k}}}" for k in names)
+    return parts[0].sparkSession.sql(sql, **names)

@@ -10,57 +10,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import all_of, any_of, cond, count_if, is_true
+from ..functions import cond
 from .contracts import UNKNOWN_REASON, TableContract
 
 INGESTED_AT = "_ingested_at"
 REASON = "rejection_reason"
 
 
-def accept_condition(contract: TableContract) -> Column:
-    return all_of(contract.accept)
+def accept_sql(contract: TableContract) -> str:
+    return " AND ".join(f"({c})" for c in contract.accept)
 
 
-def reject_condition(contract: TableContract) -> Column:
+def reject_sql(contract: TableContract) -> str:
     """The OR of the reject branches: exactly the rows the CASE labels."""
-    return any_of([c for c, _ in contract.reject])
+    return " OR ".join(f"({c})" for c, _ in contract.reject)
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def reason_sql(contract: TableContract, otherwise: str | None = UNKNOWN_REASON) -> str:
+    """First matching branch wins; ``otherwise`` (NULL if None) when none does."""
+    whens = " ".join(f"WHEN ({c}) THEN {_lit(r)}" for c, r in contract.reject)
+    tail = f" ELSE {_lit(otherwise)}" if otherwise is not None else ""
+    return f"CASE {whens}{tail} END"
 
-def _first_match(contract: TableContract) -> Column:
-    """Reason of the first matching branch; NULL when none matches."""
-    expr = None
-    for condition, reason in contract.reject:
-        expr = F.when(cond(condition), F.lit(reason)) if expr is None else expr.when(cond(condition), F.lit(reason))
-    return expr
+
+def accept_condition(contract: TableContract) -> Column:
+    return cond(accept_sql(contract))
+
+
+def reject_condition(contract: TableContract) -> Column:
+    return cond(reject_sql(contract))
 
 
 def reason_column(contract: TableContract) -> Column:
-    """First matching branch wins; ``Unknown error`` otherwise."""
-    return _first_match(contract).otherwise(F.lit(UNKNOWN_REASON))
+    return cond(reason_sql(contract))
 
 
-def silver_projection(df: DataFrame, contract: TableContract) -> list[Column]:
-    """Typed, trimmed silver columns. A contract column absent from the input
-    is emitted as a typed NULL (it is never used by a predicate)."""
-    present = set(df.columns)
+def silver_projection_sql(columns: list[str], contract: TableContract) -> list[str]:
+    """Typed, trimmed silver columns as SQL. A contract column absent from the
+    input is emitted as a typed NULL (it is never used by a predicate)."""
+    present = set(columns)
     out = []
     for c in contract.columns:
         if c.name not in present:
-            out.append(F.lit(None).cast(c.type).alias(c.name))
+            out.append(f"CAST(NULL AS {c.type}) AS {c.name}")
         elif c.type == "string":
-            out.append(F.trim(F.col(c.name)).alias(c.name))
+            out.append(f"TRIM({c.name}) AS {c.name}")
         elif c.from_text:
-            out.append(F.trim(F.col(c.name).cast("string")).cast(c.type).alias(c.name))
+            out.append(f"CAST(TRIM(CAST({c.name} AS STRING)) AS {c.type}) AS {c.name}")
         else:
-            out.append(F.col(c.name).cast(c.type).alias(c.name))
+            out.append(f"CAST({c.name} AS {c.type}) AS {c.name}")
     if INGESTED_AT in present:
-        out.append(F.col(INGESTED_AT))
+        out.append(INGESTED_AT)
     return out
 
 
 def clean(df: DataFrame, contract: TableContract) -> DataFrame:
     """Silver table: rows whose accept condition is TRUE, typed and trimmed."""
-    return df.where(accept_condition(contract)).select(*silver_projection(df, contract))
+    return df.where(accept_sql(contract)).selectExpr(*silver_projection_sql(df.columns, contract))
 
 
 def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) -> DataFrame:
@@ -69,36 +79,34 @@ def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) ->
     ``strict=True`` also sends the NULL-gap rows here (as ``Unknown error``),
     so bronze = silver + quarantine always holds.
     """
+    cols = [f"`{c}`" for c in df.columns]
     if strict:
-        reject = is_true(reject_condition(contract)) | ~is_true(accept_condition(contract))
-        return df.where(reject).select(*df.columns, reason_column(contract).alias(REASON))
+        reject = f"coalesce({reject_sql(contract)}, false) OR NOT coalesce({accept_sql(contract)}, false)"
+        return df.where(reject).selectExpr(*cols, f"{reason_sql(contract)} AS {REASON}")
     # A row is rejected exactly when some branch matches, i.e. when the CASE
     # without ELSE is not NULL. Filtering on that (rather than ANDing the hint
     # with the OR of branches, which the optimizer factors back into one OR)
     # keeps the hint a separate conjunct that reaches the Parquet reader.
     # The pre-filter is implied by every reject branch: the hint, or the OR of
     # the branches themselves when they compare raw columns only.
-    pre = cond(contract.reject_hint) if contract.reject_hint else reject_condition(contract)
-    df_in = df.where(pre)
-    reason = _first_match(contract)
-    return df_in.select(*df.columns, reason.alias(REASON)).where(F.col(REASON).isNotNull())
+    pre = contract.reject_hint or reject_sql(contract)
+    return (df.where(pre).selectExpr(*cols, f"{reason_sql(contract, None)} AS {REASON}")
+            .where(f"{REASON} IS NOT NULL"))
 
 
 def unaccounted(df: DataFrame, contract: TableContract) -> DataFrame:
     """Rows that reach neither silver nor quarantine (accept and reject both
     not TRUE, i.e. a NULL in a compared measure)."""
-    return df.where(~is_true(accept_condition(contract)) & ~is_true(reject_condition(contract)))
+    return df.where(f"NOT coalesce({accept_sql(contract)}, false) AND NOT coalesce({reject_sql(contract)}, false)")
 
 
 def balance(df: DataFrame, contract: TableContract) -> DataFrame:
     """bronze = silver + quarantine, from ONE pass over bronze: conditional
     counts instead of three table scans."""
-    acc = is_true(accept_condition(contract))
-    rej = is_true(reject_condition(contract))
-    agg = df.agg(
-        F.count(F.lit(1)).alias("bronze_received"),
-        count_if(acc).alias("silver_delivered"),
-        count_if(rej).alias("quarantine_rejected"),
+    agg = df.selectExpr(
+        "count(1) AS bronze_received",
+        f"count_if(coalesce({accept_sql(contract)}, false)) AS silver_delivered",
+        f"count_if(coalesce({reject_sql(contract)}, false)) AS quarantine_rejected",
     )
     return agg.select(
         F.lit(contract.table).alias("table_name"),

@@ -67,19 +67,29 @@ class LazyLayers(Layers):
         self.spark = source.spark
         self.config = config
         self.stamp = stamp
+        self._memo: dict[tuple[str, str], DataFrame] = {}
+
+    def _get(self, layer: str, t: str, make) -> DataFrame:
+        # One DataFrame per (layer, table), shared by every operator that uses
+        # it: the plan is analysed once instead of once per use.
+        if (layer, t) not in self._memo:
+            self._memo[(layer, t)] = make()
+        return self._memo[(layer, t)]
 
     def source(self, t: str) -> DataFrame:
         return self.src.table(t)
 
     def bronze(self, t: str) -> DataFrame:
-        df = self.src.table(t)
-        return df.withColumn(refine.INGESTED_AT, F.current_timestamp()) if self.stamp else df
+        def make():
+            df = self.src.table(t)
+            return df.withColumn(refine.INGESTED_AT, F.current_timestamp()) if self.stamp else df
+        return self._get("bronze", t, make)
 
     def silver(self, t: str) -> DataFrame:
-        return refine.clean(self.bronze(t), CONTRACTS[t])
+        return self._get("silver", t, lambda: refine.clean(self.bronze(t), CONTRACTS[t]))
 
     def quarantine(self, t: str) -> DataFrame:
-        return refine.quarantine(self.bronze(t), CONTRACTS[t])
+        return self._get("quarantine", t, lambda: refine.quarantine(self.bronze(t), CONTRACTS[t]))
 
     def balance(self, t: str) -> DataFrame:
         # One scan of bronze with conditional counts (silver and quarantine are
@@ -87,7 +97,7 @@ class LazyLayers(Layers):
         return refine.balance(self.bronze(t), CONTRACTS[t])
 
     def gold(self, name: str) -> DataFrame:
-        return build_gold(self, name)
+        return self._get("gold", name, lambda: build_gold(self, name))
 
 
 class TableLayers(Layers):

@@ -34,6 +34,7 @@ class ParquetSource(Source):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
@@ -43,7 +44,10 @@ class ParquetSource(Source):
         return "://" in self.root or os.path.exists(self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        # DataFrames are immutable plans: one per table is shared by every use.
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
     def __repr__(self) -> str:
         return f"ParquetSource({self.root!r})"
@@ -77,13 +81,16 @@ class DerivedSource(Source):
         self.spark = base.spark
         self.base = base
         self.builders = builders
+        self._frames: dict[str, DataFrame] = {}
 
     def has(self, name: str) -> bool:
         return name in self.builders or self.base.has(name)
 
     def table(self, name: str) -> DataFrame:
         if name in self.builders:
-            return self.builders[name](self.base)
+            if name not in self._frames:
+                self._frames[name] = self.builders[name](self.base)
+            return self._frames[name]
         return self.base.table(name)
 
 
