@@ -79,6 +79,13 @@ def revenue_drops(weekly: DataFrame, *, adjacency: str = "row", weeks: str = "dr
     return change.where(ratio <= threshold if inclusive else ratio < threshold)
 
 
+def alert_status(drops: DataFrame) -> DataFrame:
+    """One row: whether the alert fires and on how many weeks (the boolean
+    the pipeline alert returns, as data)."""
+    return drops.agg((F.count(F.lit(1)) > 0).alias("anomaly_detected"),
+                     F.count(F.lit(1)).alias("anomaly_weeks"))
+
+
 def alert(spark: SparkSession, drops: DataFrame, show: bool = True) -> bool:
     """Driver-side action: True if any week fired. Runs the plan once."""
     rows = drops.orderBy("week_start").collect()  # at most one row per week

@@ -78,6 +78,25 @@ def q3_wow_drop_simulated(revenue_metrics: DataFrame, cut_week: str = Q3_CUT_WEE
     return _calendar_drops(weekly.select("week_start", cut.cast("decimal(38,5)").alias("weekly_revenue")), threshold)
 
 
+def planted_cut_week(orders: DataFrame):
+    """Scalar: the latest complete week whose previous calendar week is also
+    complete (chosen from the data, so the planted drop is always comparable)."""
+    done = period_days(orders, "week").where("is_complete").select("period_start")
+    prev = done.select(F.date_add("period_start", 7).alias("_w"))
+    both = done.join(prev, F.col("period_start") == F.col("_w"), "left_semi")
+    return both.agg(F.max("period_start")).scalar()
+
+
+def q3_wow_drop_planted(revenue_metrics: DataFrame, orders: DataFrame, factor: Decimal = Q3_CUT_FACTOR,
+                        threshold: float = -0.20) -> DataFrame:
+    """Fault injection with the cut week taken from the data: scale the
+    latest comparable complete week by ``factor`` and run the detector."""
+    weekly = weekly_revenue(revenue_metrics)
+    rev = F.col("weekly_revenue")
+    cut = F.when(F.col("week_start") == planted_cut_week(orders), rev * F.lit(factor)).otherwise(rev)
+    return _calendar_drops(weekly.select("week_start", cut.cast("decimal(38,5)").alias("weekly_revenue")), threshold)
+
+
 def _top_share(mart: DataFrame, key: str, n: int) -> DataFrame:
     """Share of the top-n contributors in the total; top-n is a bounded
     TakeOrdered, the total a plain aggregate (no global sort of the mart)."""

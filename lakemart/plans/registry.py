@@ -110,6 +110,8 @@ register("weekly_revenue_without_first", lambda e: monitor.drop_first_week(_week
 register("wow_change", lambda e: monitor.wow_change(monitor.drop_first_week(_weekly(e)), "row"))
 register("revenue_drop_alert", lambda e: monitor.revenue_drops(
     _weekly(e), adjacency="row", weeks="drop_first", inclusive=False, threshold=e.config.drop_threshold))
+register("revenue_alert_status", lambda e: monitor.alert_status(monitor.revenue_drops(
+    _weekly(e), adjacency="row", weeks="drop_first", inclusive=False, threshold=e.config.drop_threshold)))
 register("revenue_drop_alert_complete", lambda e: monitor.revenue_drops(
     _weekly(e), adjacency="calendar", weeks="complete", inclusive=False, threshold=e.config.drop_threshold,
     orders=e.raw.bronze("orders")))
@@ -122,6 +124,8 @@ register("q2_active_customers", lambda e: questions.q2_active_customers(e.raw.go
 register("q3_wow_drop", lambda e: questions.q3_wow_drop(e.raw.gold("revenue_metrics"), e.config.drop_threshold))
 register("q3_wow_drop_simulated",
          lambda e: questions.q3_wow_drop_simulated(e.raw.gold("revenue_metrics"), threshold=e.config.drop_threshold))
+register("q3_wow_drop_planted", lambda e: questions.q3_wow_drop_planted(
+    e.raw.gold("revenue_metrics"), e.raw.bronze("orders"), threshold=e.config.drop_threshold))
 register("q4_company_health", lambda e: questions.q4_company_health(
     e.raw.gold("revenue_metrics"), e.raw.bronze("orders"), e.raw.gold("customer_activity"),
     e.raw.gold("top_suppliers"), e.raw.gold("top_parts"), e.config.health_top_n))
