@@ -13,6 +13,7 @@ NULL, so such a row lands in neither table (see ``refine.unaccounted``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from ..config import DISCOUNT_MAX, DISCOUNT_MIN, TAX_MAX, TAX_MIN
 
@@ -53,6 +54,11 @@ class TableContract:
     # ANDed into the quarantine filter so Parquet row-group statistics can
     # skip clean data (the exact branches cast to DECIMAL and do not push down).
     reject_hint: str | None = None
+    # Equivalent accept / reject branches without DECIMAL casts, valid when
+    # every column in ``numeric_inputs`` is numeric (see ``cents_form``).
+    fast_accept: tuple[str, ...] | None = None
+    fast_reject: tuple[str, ...] | None = None
+    numeric_inputs: tuple[str, ...] = ()
 
     @property
     def column_names(self) -> tuple[str, ...]:
@@ -113,6 +119,24 @@ REASONS = {
 _D = "CAST({} AS DECIMAL(18,2))"
 
 
+def _cent_lo(col: str, lo) -> str:
+    """CAST(col AS DECIMAL(18,2)) >= lo, without the cast. Rounding to cents
+    is half-up and monotone, so the cast is >= lo exactly when the raw value
+    is above lo - 0.005 (half a cent), for any numeric input."""
+    return f"{col} > {lo - Decimal('0.005')}"
+
+
+def _cent_hi(col: str, hi) -> str:
+    """CAST(col AS DECIMAL(18,2)) <= hi, without the cast."""
+    return f"{col} < {hi + Decimal('0.005')}"
+
+
+def _cent_out(col: str, lo, hi=None) -> str:
+    """CAST(col AS DECIMAL(18,2)) < lo [OR > hi], without the cast."""
+    out = f"{col} <= {lo - Decimal('0.005')}"
+    return out if hi is None else f"{out} OR {col} >= {hi + Decimal('0.005')}"
+
+
 def _branches(table: str, conditions: list[str]) -> tuple[tuple[str, str], ...]:
     reasons = REASONS[table]
     assert len(reasons) == len(conditions)
@@ -250,6 +274,21 @@ LINEITEM = TableContract(
         Check("chk_lineitem_discount", f"l_discount >= {DISCOUNT_MIN:.2f} AND l_discount <= {DISCOUNT_MAX}"),
         Check("chk_lineitem_tax", f"l_tax >= {TAX_MIN:.2f} AND l_tax <= {TAX_MAX}"),
     ),
+    fast_accept=(
+        "l_orderkey IS NOT NULL", "l_linenumber IS NOT NULL", "l_partkey IS NOT NULL", "l_suppkey IS NOT NULL",
+        _cent_lo("l_discount", DISCOUNT_MIN), _cent_hi("l_discount", DISCOUNT_MAX),
+        _cent_lo("l_tax", TAX_MIN), _cent_hi("l_tax", TAX_MAX),
+        _cent_lo("l_quantity", 0), _cent_lo("l_extendedprice", 0),
+    ),
+    fast_reject=(
+        "l_orderkey IS NULL OR l_linenumber IS NULL",
+        "l_partkey IS NULL OR l_suppkey IS NULL",
+        _cent_out("l_discount", DISCOUNT_MIN, DISCOUNT_MAX),
+        _cent_out("l_tax", TAX_MIN, TAX_MAX),
+        _cent_out("l_quantity", 0),
+        _cent_out("l_extendedprice", 0),
+    ),
+    numeric_inputs=("l_discount", "l_tax", "l_quantity", "l_extendedprice"),
     # Rounding to cents is monotone, so a rejected rate or amount is already
     # outside the bounds before the cast.
     reject_hint=(

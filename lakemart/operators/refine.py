@@ -17,22 +17,45 @@ INGESTED_AT = "_ingested_at"
 REASON = "rejection_reason"
 
 
-def accept_sql(contract: TableContract) -> str:
-    return " AND ".join(f"({c})" for c in contract.accept)
+_NUMERIC = ("double", "float", "decimal", "int", "bigint", "smallint", "tinyint")
 
 
-def reject_sql(contract: TableContract) -> str:
+def cents_form(df: DataFrame | None, contract: TableContract) -> bool:
+    """Use the cast-free predicates when all measure inputs are numeric: the
+    DECIMAL casts then cost most of the silver filter's CPU."""
+    if df is None or not contract.fast_accept:
+        return False
+    types = dict(df.dtypes)
+    return all(types.get(c, "string").split("(")[0] in _NUMERIC for c in contract.numeric_inputs)
+
+
+def accept_list(contract: TableContract, df: DataFrame | None = None) -> tuple[str, ...]:
+    return contract.fast_accept if cents_form(df, contract) else contract.accept
+
+
+def reject_branches(contract: TableContract, df: DataFrame | None = None) -> tuple[tuple[str, str], ...]:
+    if cents_form(df, contract):
+        return tuple(zip(contract.fast_reject, (r for _, r in contract.reject)))
+    return contract.reject
+
+
+def accept_sql(contract: TableContract, df: DataFrame | None = None) -> str:
+    return " AND ".join(f"({c})" for c in accept_list(contract, df))
+
+
+def reject_sql(contract: TableContract, df: DataFrame | None = None) -> str:
     """The OR of the reject branches: exactly the rows the CASE labels."""
-    return " OR ".join(f"({c})" for c, _ in contract.reject)
+    return " OR ".join(f"({c})" for c, _ in reject_branches(contract, df))
 
 
 def _lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def reason_sql(contract: TableContract, otherwise: str | None = UNKNOWN_REASON) -> str:
+def reason_sql(contract: TableContract, otherwise: str | None = UNKNOWN_REASON,
+               df: DataFrame | None = None) -> str:
     """First matching branch wins; ``otherwise`` (NULL if None) when none does."""
-    whens = " ".join(f"WHEN ({c}) THEN {_lit(r)}" for c, r in contract.reject)
+    whens = " ".join(f"WHEN ({c}) THEN {_lit(r)}" for c, r in reject_branches(contract, df))
     tail = f" ELSE {_lit(otherwise)}" if otherwise is not None else ""
     return f"CASE {whens}{tail} END"
 
@@ -70,7 +93,7 @@ def silver_projection_sql(columns: list[str], contract: TableContract) -> list[s
 
 def clean(df: DataFrame, contract: TableContract) -> DataFrame:
     """Silver table: rows whose accept condition is TRUE, typed and trimmed."""
-    return df.where(accept_sql(contract)).selectExpr(*silver_projection_sql(df.columns, contract))
+    return df.where(accept_sql(contract, df)).selectExpr(*silver_projection_sql(df.columns, contract))
 
 
 def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) -> DataFrame:
@@ -81,23 +104,23 @@ def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) ->
     """
     cols = [f"`{c}`" for c in df.columns]
     if strict:
-        reject = f"coalesce({reject_sql(contract)}, false) OR NOT coalesce({accept_sql(contract)}, false)"
-        return df.where(reject).selectExpr(*cols, f"{reason_sql(contract)} AS {REASON}")
+        reject = f"coalesce({reject_sql(contract, df)}, false) OR NOT coalesce({accept_sql(contract, df)}, false)"
+        return df.where(reject).selectExpr(*cols, f"{reason_sql(contract, df=df)} AS {REASON}")
     # A row is rejected exactly when some branch matches, i.e. when the CASE
     # without ELSE is not NULL. Filtering on that (rather than ANDing the hint
     # with the OR of branches, which the optimizer factors back into one OR)
     # keeps the hint a separate conjunct that reaches the Parquet reader.
     # The pre-filter is implied by every reject branch: the hint, or the OR of
     # the branches themselves when they compare raw columns only.
-    pre = contract.reject_hint or reject_sql(contract)
-    return (df.where(pre).selectExpr(*cols, f"{reason_sql(contract, None)} AS {REASON}")
+    pre = contract.reject_hint or reject_sql(contract, df)
+    return (df.where(pre).selectExpr(*cols, f"{reason_sql(contract, None, df)} AS {REASON}")
             .where(f"{REASON} IS NOT NULL"))
 
 
 def unaccounted(df: DataFrame, contract: TableContract) -> DataFrame:
     """Rows that reach neither silver nor quarantine (accept and reject both
     not TRUE, i.e. a NULL in a compared measure)."""
-    return df.where(f"NOT coalesce({accept_sql(contract)}, false) AND NOT coalesce({reject_sql(contract)}, false)")
+    return df.where(f"NOT coalesce({accept_sql(contract, df)}, false) AND NOT coalesce({reject_sql(contract, df)}, false)")
 
 
 def balance(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -105,8 +128,8 @@ def balance(df: DataFrame, contract: TableContract) -> DataFrame:
     counts instead of three table scans."""
     agg = df.selectExpr(
         "count(1) AS bronze_received",
-        f"count_if(coalesce({accept_sql(contract)}, false)) AS silver_delivered",
-        f"count_if(coalesce({reject_sql(contract)}, false)) AS quarantine_rejected",
+        f"count_if(coalesce({accept_sql(contract, df)}, false)) AS silver_delivered",
+        f"count_if(coalesce({reject_sql(contract, df)}, false)) AS quarantine_rejected",
     )
     return agg.select(
         F.lit(contract.table).alias("table_name"),

@@ -220,3 +220,41 @@ def test_declared_constraints():
     kinds = [k for _, _, k in decl]
     assert (kinds.count("NOT NULL"), kinds.count("PRIMARY KEY"), kinds.count("FOREIGN KEY"), kinds.count("CHECK")) \
         == (16, 8, 8, 6)
+
+
+def test_cast_free_cent_bounds_equal_cast_form(spark):
+    """The cast-free lineitem predicates agree with the DECIMAL-cast ones on
+    every value around each half-cent boundary (DOUBLE and DECIMAL inputs)."""
+    import math
+    import random
+
+    from lakemart.operators.refine import accept_sql, reject_sql
+
+    c = CONTRACTS["lineitem"]
+    edges = [-0.015, -0.01, -0.005, 0.0, 0.005, 0.075, 0.08, 0.085, 0.095, 0.1, 0.104, 0.105, 0.11, 0.15, 1.0]
+    vals = set()
+    for e in edges:
+        x = e
+        for _ in range(3):
+            vals.add(x)
+            x = math.nextafter(x, math.inf)
+        x = e
+        for _ in range(3):
+            vals.add(x)
+            x = math.nextafter(x, -math.inf)
+    rng = random.Random(7)
+    vals |= {round(rng.uniform(-0.02, 0.12), rng.choice([2, 3, 4, 6])) for _ in range(300)}
+    vals = sorted(vals)
+    rows = [(1, 1, 1, 1, v, v, v, v) for v in vals] + [(1, 1, 1, 1, None, 1.0, 0.05, 0.02)]
+    cols = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, " \
+           "l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    for typ in ("double", "decimal(12,6)"):
+        df = spark.createDataFrame(rows, cols).selectExpr(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            *[f"CAST({k} AS {typ}) AS {k}" for k in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")])
+        fast_a, fast_r = accept_sql(c, df), reject_sql(c, df)
+        cast_a, cast_r = accept_sql(c), reject_sql(c)
+        assert fast_a != cast_a  # the cast-free form is in use for numeric inputs
+        got = df.selectExpr(f"({fast_a}) AS a", f"({fast_r}) AS r", f"({cast_a}) AS ca", f"({cast_r}) AS cr").collect()
+        for row, v in zip(got, rows):
+            assert (row.a, row.r) == (row.ca, row.cr), (typ, v)
