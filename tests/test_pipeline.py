@@ -77,3 +77,24 @@ def test_streaming_bronze_ingest(spark, scratch):
     shutil.copy(os.path.join(SF_SMALL, "orders.parquet"), os.path.join(folder, "orders_2.parquet"))
     ingest_available(spark, folder, "orders", "bronze_stream.orders", checkpoint=ckpt)
     assert spark.table("bronze_stream.orders").count() == 2 * src.count()
+
+
+def test_cli_steps_and_catalog_helpers(spark, scratch):
+    """Per-step entry points over a parquet folder holding all eight tables."""
+    from lakemart.__main__ import main
+
+    folder = tempfile.mkdtemp(prefix="cli-src-", dir=scratch)
+    src = fixture_source(ParquetSource(spark, SF_SMALL))
+    for t in TABLES:
+        src.table(t).write.mode("overwrite").parquet(os.path.join(folder, f"{t}.parquet"))
+    for step in ("bronze", "silver", "gold", "validate"):
+        assert main([step, "--parquet", folder]) == 0, step
+    assert main(["alert"]) in (0, 1)
+    cfg = Config()
+    assert len(pipeline.list_tables(spark, "gold", cfg)) == 4
+    desc = {r.col_name for r in pipeline.describe_table(spark, "silver", "lineitem", cfg).collect()}
+    assert {"l_orderkey", "l_discount", "_ingested_at"} <= desc
+    pipeline.use_layer(spark, "silver", cfg)
+    assert spark.catalog.currentDatabase() == "silver"
+    spark.catalog.setCurrentDatabase("default")
+    assert pipeline.list_tables(spark, "no_such_layer", cfg) == []
