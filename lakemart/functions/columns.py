@@ -3,8 +3,6 @@ so they stay inside whole-stage codegen (no Python UDFs)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,26 +34,11 @@ def cond(sql: str) -> Column:
     return F.expr(sql)
 
 
-def all_of(conditions) -> Column:
-    cols = [cond(c) if isinstance(c, str) else c for c in conditions]
-    return reduce(lambda a, b: a & b, cols)
-
-
-def any_of(conditions) -> Column:
-    cols = [cond(c) if isinstance(c, str) else c for c in conditions]
-    return reduce(lambda a, b: a | b, cols)
-
-
 def is_true(c: Column) -> Column:
     """TRUE only when ``c`` is TRUE (NULL -> FALSE)."""
     return F.coalesce(c, F.lit(False))
 
 
-def violates(c: Column) -> Column:
-    """NOT coalesce(c, false): a NULL outcome counts as a violation."""
-    return ~is_true(c)
-
-
 def count_if(c: Column) -> Column:
     """Number of rows where ``c`` is TRUE, as BIGINT (0 on empty input)."""
     return F.coalesce(F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")

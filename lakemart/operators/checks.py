@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import REVENUE_TYPE, cond, count_if, is_true, net_revenue
+from ..functions import REVENUE_TYPE, cond
 
 Frame = tuple[str, str]
 

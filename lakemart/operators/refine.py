@@ -7,10 +7,9 @@ the scan made them, and the whole table flows through codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cond
 from .contracts import UNKNOWN_REASON, TableContract
 
 INGESTED_AT = "_ingested_at"
@@ -60,18 +59,6 @@ def reason_sql(contract: TableContract, otherwise: str | None = UNKNOWN_REASON,
     return f"CASE {whens}{tail} END"
 
 
-def accept_condition(contract: TableContract) -> Column:
-    return cond(accept_sql(contract))
-
-
-def reject_condition(contract: TableContract) -> Column:
-    return cond(reject_sql(contract))
-
-
-def reason_column(contract: TableContract) -> Column:
-    return cond(reason_sql(contract))
-
-
 def silver_projection_sql(columns: list[str], contract: TableContract) -> list[str]:
     """Typed, trimmed silver columns as SQL. A contract column absent from the
     input is emitted as a typed NULL (it is never used by a predicate)."""
@@ -107,11 +94,11 @@ def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) ->
         reject = f"coalesce({reject_sql(contract, df)}, false) OR NOT coalesce({accept_sql(contract, df)}, false)"
         return df.where(reject).selectExpr(*cols, f"{reason_sql(contract, df=df)} AS {REASON}")
     # A row is rejected exactly when some branch matches, i.e. when the CASE
-    # without ELSE is not NULL. Filtering on that (rather than ANDing the hint
-    # with the OR of branches, which the optimizer factors back into one OR)
-    # keeps the hint a separate conjunct that reaches the Parquet reader.
-    # The pre-filter is implied by every reject branch: the hint, or the OR of
-    # the branches themselves when they compare raw columns only.
+    # without ELSE is not NULL. The pre-filter is implied by every branch (the
+    # hint, or the OR of the branches when they compare raw columns only) and
+    # stays a separate conjunct that reaches the Parquet reader; ANDing it with
+    # the OR of the branches instead lets the optimizer factor both into one
+    # OR that cannot be pushed.
     pre = contract.reject_hint or reject_sql(contract, df)
     return (df.where(pre).selectExpr(*cols, f"{reason_sql(contract, None, df)} AS {REASON}")
             .where(f"{REASON} IS NOT NULL"))

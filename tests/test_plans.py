@@ -47,3 +47,17 @@ def test_marts_pre_aggregate_fact_side(spark):
     # partial aggregation of lineitem by supplier happens before any join
     assert "partial_sum" in p
     assert p.index("partial_sum") > p.index("Join")  # formatted lists the join first, its inputs after
+
+
+def test_silver_filter_has_no_decimal_casts_for_numeric_input(spark):
+    p = formatted(Env(spark, SF_SMALL).raw.silver("lineitem"))
+    conds = [l for l in p.splitlines() if l.startswith("Condition")]
+    assert conds and not any("as decimal" in l for l in conds)
+    # the output is still typed by casts in the projection
+    assert "cast(l_discount" in p and "decimal(4,2)" in p
+
+
+def test_q1_date_range_reaches_orders_scan(spark):
+    p = formatted(E.queries()["q1_quarter_revenue"](spark, SF_SMALL))
+    pushed = [l for l in p.splitlines() if l.startswith("PushedFilters") and "o_orderdate" in l]
+    assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
