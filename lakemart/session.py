@@ -56,3 +56,37 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     if d and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.3,
+               target_partition_mb: int = 128, max_split_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for an input of ``input_bytes`` on ``total_cores``.
+
+    * scan splits: at most ``max_split_mb``, but small enough that every core
+      gets about three splits;
+    * shuffle partitions: the expected shuffle volume (``shuffle_ratio`` of the
+      input: the plans aggregate map-side before exchanging) divided into
+      ``target_partition_mb`` pieces, never fewer than two waves of cores. AQE
+      then coalesces small partitions and splits skewed ones, so this is an
+      upper bound that keeps every reducer within executor memory.
+
+    For ~100 TB on 1000 executors x 8 cores: 256 MB splits (~400k scan tasks)
+    and ~240k shuffle partitions before AQE coalescing.
+    """
+    split = max(4 * MB, min(max_split_mb * MB, input_bytes // max(1, 3 * total_cores)))
+    shuffle = int(input_bytes * shuffle_ratio) // (target_partition_mb * MB)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * MB),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
