@@ -26,9 +26,9 @@ def norm(v):
     if v is None:
         return "<NULL>"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f")
+        return str(v)  # keeps the scale: types must agree too
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
     return str(v)
@@ -39,6 +39,18 @@ def canon(cols, rows):
     return sorted(cols), sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def spark_types(df):
+    return {c: (t.upper() if t.startswith("decimal") else SPARK_TO_DUCK.get(t, t)) for c, t in df.dtypes}
+
+
+def duck_types(con, sql):
+    return {d[0]: str(d[1]) for d in con.execute(sql).description}
+
+
 def spark_canon(df):
     return canon(df.columns, [tuple(r) for r in df.collect()])
 

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from oracle_util import duck, duck_canon, spark_canon
+from oracle_util import duck, duck_canon, duck_types, spark_canon, spark_types
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -26,8 +26,10 @@ def test_every_key_has_oracle_or_is_stamped():
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, con, key):
-    got = spark_canon(QUERIES[key](spark, SF_SMALL))
+    df = QUERIES[key](spark, SF_SMALL)
+    got = spark_canon(df)
     want = duck_canon(con, ORACLE[key])
+    assert spark_types(df) == duck_types(con, ORACLE[key]), "column types differ"
     assert got[0] == want[0], "columns differ"
     assert len(got[1]) == len(want[1]), "row counts differ"
     assert got[1] == want[1], "values differ"
