@@ -1,7 +1,7 @@
 """Command-line entry points, one per pipeline step.
 
     python -m lakemart all      --parquet /data/tpch          # whole pipeline
-    python -m lakemart all      --catalog-source samples.tpch --skip-bronze
+    python -m lakemart all      --catalog-source retail.tpch --skip-bronze
     python -m lakemart bronze   --parquet /data/tpch
     python -m lakemart silver | gold | validate | alert  [--as-of 1998-08-02]
 

@@ -54,7 +54,7 @@ class ParquetSource(Source):
 
 
 class CatalogSource(Source):
-    """Tables of a catalog namespace, e.g. ``samples.tpch`` or ``bronze``."""
+    """Tables of a catalog namespace, e.g. ``retail.tpch`` or ``bronze``."""
 
     def __init__(self, spark: SparkSession, namespace: str):
         self.spark = spark
