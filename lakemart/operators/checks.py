@@ -24,10 +24,10 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import REVENUE_TYPE, cond
+from ..functions import REVENUE_TYPE
 
 Frame = tuple[str, str]
 
@@ -46,8 +46,10 @@ class Check:
       ``orphans``     rows of ``frame`` whose ``key`` has no match in
                       ``parent``/``parent_key`` (NULL keys count unless
                       ``null_ok``);
-      ``pairs_where`` pairs of ``frame`` x ``parent`` joined on key where
-                      ``condition`` holds (over ``attrs`` and ``parent_attrs``).
+      ``before``      pairs (row of ``frame``, row of ``parent``) with equal keys
+                      where the child's ``attrs[0]`` is strictly before the
+                      parent's ``parent_attrs[0]``, counted without forming
+                      pairs (a running count per key).
     finish: how the summed parts give the result:
       ``sum``, ``abs``, ``over_tolerance`` (|amount| > tolerance -> 1 else 0),
       ``is_empty`` (n = 0 -> 1 else 0).
@@ -165,13 +167,32 @@ def _orphans_both_ways(a: DataFrame, b: DataFrame, ab: Check, ba: Check, width:
     return _long(one, [(ab, f"{ab.sign} * _v1", "NULL"), (ba, f"{ba.sign} * _v2", "NULL")], width)
 
 
-def _pairs_where(child: DataFrame, parent: DataFrame, c: Check, width: int) -> DataFrame:
-    """Count joined pairs meeting ``condition`` from (key, attrs) counts of each
-    side: n_child * n_parent per matching combination, exact for duplicates."""
-    cg = child.groupBy(*c.key, *c.attrs).agg(F.count(F.lit(1)).alias("_cn"))
-    pg = parent.groupBy(*c.parent_key, *c.parent_attrs).agg(F.count(F.lit(1)).alias("_pn"))
-    j = cg.join(pg, _eq(c.key, c.parent_key), "inner").where(cond(c.condition))
-    one = j.agg(F.coalesce(F.sum(F.col("_cn") * F.col("_pn")), F.lit(0)).alias("_v"))
+def _ordinal(col: str, df: DataFrame) -> Column:
+    """An integer that orders like ``col`` (days for dates)."""
+    t = dict(df.dtypes)[col]
+    return F.unix_date(F.col(col).cast("date")) if t in ("date", "timestamp", "timestamp_ntz") else F.col(col)
+
+
+def _pairs_before(child: DataFrame, parent: DataFrame, c: Check, width: int) -> DataFrame:
+    """Count (child, parent) row pairs with equal key and child attr < parent
+    attr, exactly, without emitting pairs. Both sides are first reduced to
+    (key, value, count) - partial aggregation collapses hot keys - and united;
+    per key a RANGE window sums the child counts of strictly smaller values,
+    and every parent group adds its count times that sum. A key holds at most
+    one row per distinct value on each side (calendar days for dates), never
+    one row per record."""
+    (ck,), (pk,) = c.key, c.parent_key
+    (ca,), (pa,) = c.attrs, c.parent_attrs
+    cg = (child.where(F.col(ck).isNotNull() & F.col(ca).isNotNull())
+          .groupBy(F.col(ck).alias("_k"), _ordinal(ca, child).alias("_v")).agg(F.count(F.lit(1)).alias("_cn"))
+          .select("_k", "_v", "_cn", F.lit(0).cast("bigint").alias("_pn")))
+    pg = (parent.where(F.col(pk).isNotNull() & F.col(pa).isNotNull())
+          .groupBy(F.col(pk).alias("_k"), _ordinal(pa, parent).alias("_v")).agg(F.count(F.lit(1)).alias("_pn"))
+          .select("_k", "_v", F.lit(0).cast("bigint").alias("_cn"), "_pn"))
+    w = Window.partitionBy("_k").orderBy("_v").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_cn").over(w), F.lit(0))
+    one = (cg.unionByName(pg).select((F.col("_pn") * earlier).alias("_x"))
+           .agg(F.coalesce(F.sum("_x"), F.lit(0)).alias("_v")))
     return _long(one, [(c, f"{c.sign} * _v", "NULL")], width)
 
 
@@ -220,8 +241,8 @@ def evaluate(layers, checks: list[Check], width: int | None = None) -> DataFrame
             parts.append(_duplicates(get(c.frame), c, width))
         elif c.kind == "orphans":
             orphan.append(c)
-        elif c.kind == "pairs_where":
-            parts.append(_pairs_where(get(c.frame), get(c.parent), c, width))
+        elif c.kind == "before":
+            parts.append(_pairs_before(get(c.frame), get(c.parent), c, width))
         else:
             raise ValueError(c.kind)
     for fr, cs in local.items():

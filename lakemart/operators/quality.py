@@ -137,9 +137,9 @@ def rule_checks(config, lazy: bool = False) -> list[Check]:
                condition=f"NOT (l_discount BETWEEN {lo_d} AND {hi_d} AND l_tax BETWEEN {lo_t} AND {hi_t})")
     out += add(LAYER_SILVER, s[3], "where", ("silver", "lineitem"), condition="l_quantity <= 0")
     out += add(LAYER_SILVER, s[4], "where", ("silver", "orders"), condition="o_totalprice < 0")
-    out += add(LAYER_SILVER, s[5], "pairs_where", ("silver", "lineitem"), key=("l_orderkey",),
+    out += add(LAYER_SILVER, s[5], "before", ("silver", "lineitem"), key=("l_orderkey",),
                attrs=("l_shipdate",), parent=("silver", "orders"), parent_key=("o_orderkey",),
-               parent_attrs=("o_orderdate",), condition="l_shipdate < o_orderdate")
+               parent_attrs=("o_orderdate",))
     out += add(LAYER_SILVER, s[6], "orphans", ("silver", "customer"), key=("c_nationkey",),
                parent=("silver", "nation"), parent_key=("n_nationkey",))
     out += add(LAYER_SILVER, s[7], "orphans", ("silver", "supplier"), key=("s_nationkey",),

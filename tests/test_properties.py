@@ -61,3 +61,27 @@ def test_lineitem_split_matches_python_model(spark, rows):
             assert rid not in quar
             in_silver = all(x is not None for x in raw[4:])
             assert (rid in silver) == in_silver and (rid in lost) == (not in_silver), raw
+
+
+side = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 6))),
+                max_size=30)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(side, side)
+def test_before_count_equals_brute_force_pairs(spark, child, parent):
+    """Rule 43's pair-free running count equals counting joined pairs."""
+    import datetime as dt
+
+    from lakemart.operators.checks import Check, _pairs_before
+
+    base = dt.date(1998, 1, 1)
+    day = lambda d: None if d is None else base + dt.timedelta(days=d)
+    c = spark.createDataFrame([(k, day(d)) for k, d in child], "l_orderkey bigint, l_shipdate date")
+    p = spark.createDataFrame([(k, day(d)) for k, d in parent], "o_orderkey bigint, o_orderdate date")
+    chk = Check(1, ("x",), "before", ("silver", "lineitem"), key=("l_orderkey",), attrs=("l_shipdate",),
+                parent=("silver", "orders"), parent_key=("o_orderkey",), parent_attrs=("o_orderdate",))
+    got = _pairs_before(c, p, chk, 1).collect()[0]["n"]
+    want = sum(1 for ck, cd in child for pk, pd in parent
+               if ck is not None and ck == pk and cd is not None and pd is not None and cd < pd)
+    assert got == want
