@@ -61,3 +61,27 @@ def test_q1_date_range_reaches_orders_scan(spark):
     p = formatted(E.queries()["q1_quarter_revenue"](spark, SF_SMALL))
     pushed = [l for l in p.splitlines() if l.startswith("PushedFilters") and "o_orderdate" in l]
     assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
+
+
+def test_marts_shuffle_lineitem_once_at_scale(spark):
+    """With broadcasts off (as at 100 TB) each mart exchanges its fact table
+    once, for the aggregate, and the sort-merge join reuses that partitioning;
+    the group by after the join needs no exchange (revenue adds one tiny
+    per-day one)."""
+    import re
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        want = {"revenue_metrics": (3, "l_orderkey"), "customer_activity": (2, "o_custkey"),
+                "top_suppliers": (2, "l_suppkey"), "top_parts": (2, "l_partkey")}
+        for k, (n, fact_key) in want.items():
+            p = E.queries()[k](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            ex = re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition)", p)
+            assert len(ex) == n, (k, ex)
+            assert sum(1 for e in ex if fact_key in e) == 1, (k, ex)  # fact side: one exchange
+            assert "SortMergeJoin" in p, k
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
