@@ -46,9 +46,13 @@ def _stamp(path: str):
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     stamp = _stamp(path)
-    if stamp is None:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no SparkContext: no cache
+        app = None
+    if stamp is None or app is None:
         return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path, stamp)
+    key = (app, path, stamp)
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]
