@@ -13,6 +13,8 @@ per check, the runner plans
   key costs one row per task, never a row per violating record; a check and
   its reverse (orders without lines / lines without orders) share one full
   outer join;
+* for "child date before parent date", a running count per key over
+  pre-aggregated (key, day, count) rows: exact, and no pairs are formed;
 
 and emits every result as rows ``(id, n, amount)`` that one small ``groupBy``
 finishes. Everything is one lazy plan: one job when it is collected.
