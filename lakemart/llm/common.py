@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,48 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def utf8_crc32(data: bytes) -> int:
-    return zlib.crc32(data)
+class Shared:
+    """A broadcast value of bounded size, from which every Python worker builds
+    its own object once (``make``); the id tells workers' objects apart."""
+
+    held: tuple[str, object] = ("", None)
+
+    def __init__(self, spark: SparkSession, value, make: Callable = lambda x: x):
+        self.broadcast, self.make, self.id = spark.sparkContext.broadcast(value), make, uuid.uuid4().hex
+
+    def get(self):
+        if Shared.held[0] != self.id:
+            Shared.held = (self.id, self.make(self.broadcast.value))
+        return Shared.held[1]
+
+
+def per_text(shared: Shared, rows: Callable, kind: str, arrow_type, limit: int = 4_000_000) -> Callable:
+    """An Arrow UDF of a text column: ``rows(worker's object, texts)`` gives a
+    value for each text, called on slices of about ``limit`` characters. It is
+    evaluated once, wherever its column is used."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        mine = shared.get()
+        for column in columns:
+            texts = column.to_pylist()
+            out, at = [], 0
+            while at < len(texts):
+                to, size = at, 0
+                while to < len(texts) and (to == at or size + len(texts[to] or "") <= limit):
+                    size += len(texts[to] or "")
+                    to += 1
+                out += rows(mine, texts[at:to])
+                at = to
+            yield pa.array(out, arrow_type)
+
+    return F.arrow_udf(run, kind).asNondeterministic()
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column is called so."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
 
 
 def slices(batches, size_of, limit: int):
