@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, toxicity
+from . import neardup, packing, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,9 +26,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
+    "op5_near_duplicates": op5_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
