@@ -40,15 +40,17 @@ class Shared:
     """A broadcast value of bounded size, from which every Python worker builds
     its own object once (``make``); the id tells workers' objects apart."""
 
-    held: tuple[str, object] = ("", None)
+    held: dict[str, object] = {}
 
     def __init__(self, spark: SparkSession, value, make: Callable = lambda x: x):
         self.broadcast, self.make, self.id = spark.sparkContext.broadcast(value), make, uuid.uuid4().hex
 
     def get(self):
-        if Shared.held[0] != self.id:
-            Shared.held = (self.id, self.make(self.broadcast.value))
-        return Shared.held[1]
+        if self.id not in Shared.held:
+            while len(Shared.held) > 3:  # the latest few
+                Shared.held.pop(next(iter(Shared.held)))
+            Shared.held[self.id] = self.make(self.broadcast.value)
+        return Shared.held[self.id]
 
 
 def per_text(shared: Shared, rows: Callable, kind: str, arrow_type, limit: int = 4_000_000) -> Callable:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup, packing, toxicity
+from . import decontaminate, neardup, packing, secrets, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,11 +34,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op7_secrets": op7_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
