@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup, packing, secrets, toxicity
+from . import decontaminate, langid, neardup, packing, secrets, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_toxicity": op3_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
