@@ -16,8 +16,10 @@ executor) reads the same rows and writes the same ids.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import unicodedata
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,43 +51,68 @@ def cut(length: int, capacity: int, slack: float) -> list[tuple[int, int]]:
 
 
 class WordIds:
-    """Ids of whole texts as little-endian uint32 bytes. The vocabulary's
-    normaliser and splitter never look across white space, so ids are kept per
-    white-space word; the store is emptied when full (bounded memory)."""
-
+    """Ids of whole texts as little-endian uint32 bytes. Where the vocabulary's
+    normaliser and splitter never look across white space (see SPLITS), ids are
+    kept per white-space word, and a word of letters goes straight to the merges
+    in the form that the normaliser and the byte alphabet give it. The store is
+    emptied when full (bounded memory). Other vocabularies encode whole texts."""
+
+    #: The steps before the merges for which words can be encoded alone.
+    NORMAL = ["NFC", "Replace", "Lowercase"]
+    SPLITS = ["Split", "ByteLevel"]
     #: Control characters that Python's split() takes for white space and the tokenizer doesn't.
     ODD = re.compile("[\x1c-\x1f]")
-    #: A plain word and the signs behind it: always split by the tokenizer between the two.
-    PLAIN = re.compile(r"([A-Za-z]+)([.,:;!?#$%&*]+)\Z")
+    #: Letters and the signs behind them: always split by the tokenizer between the two.
+    PLAIN = re.compile(r"([^\W\d_]+)([.,:;!?#$%&*]*)\Z")
+    #: Letters whose lower case depends on their place or is longer.
+    MOODY = re.compile("[\u0130\u03a3]")
 
-    def __init__(self, spec: str, room: int = 400_000):
-        from tokenizers import Tokenizer
+    def __init__(self, spec: str, room: int = 800_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.room = room
         self.words: dict[str, bytes] = {}
+        form = json.loads(spec)
+        kinds = lambda part, key: [x["type"] for x in (form.get(part) or {}).get(key, [])]
+        self.by_word = (kinds("normalizer", "normalizers") == self.NORMAL and form["model"]["type"] == "BPE"
+                        and kinds("pre_tokenizer", "pretokenizers") == self.SPLITS
+                        and not form["pre_tokenizer"]["pretokenizers"][-1]["add_prefix_space"])
+        self.merges = self.tokenizer.model.tokenize
+        self.alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def letters(self, w: str) -> bytes:
+        """The ids of letters only, in lower case."""
+        ids = self.words.get(w)
+        if ids is None:
+            if not w.isascii():
+                w_bytes = self.alphabet(unicodedata.normalize("NFC", w))[0][0]
+            else:
+                w_bytes = w
+            found = [t.id for t in self.merges(w_bytes)]
+            ids = self.words[w] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
     def word(self, w: str) -> bytes:
         m = self.PLAIN.match(w)
-        if m:
-            ids = self.known(m[1].lower()) + self.known(m[2])
+        if m and not self.MOODY.search(w) and m[1].isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w)):
+            ids = self.letters(m[1].lower())
+            if m[2]:
+                signs = self.words.get(m[2])
+                if signs is None:
+                    signs = self.words[m[2]] = self.encode(m[2])
+                ids += signs
         else:
             ids = self.encode(w)
         self.words[w] = ids
         return ids
 
-    def known(self, w: str) -> bytes:
-        ids = self.words.get(w)
-        if ids is None:
-            ids = self.words[w] = self.encode(w)
-        return ids
-
     def text(self, text: str) -> bytes:
-        if self.ODD.search(text):
+        if not self.by_word or self.ODD.search(text):
             return self.encode(text)
         if len(self.words) > self.room:
             self.words.clear()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, neardup, packing, secrets, toxicity
+from . import decontaminate, langid, neardup, packing, secrets, sharding, toxicity
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_toxicity": op3_toxicity,
+    "op4_sharding": op4_sharding,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
