@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, langid, neardup, packing, secrets, sharding, toxicity
+from . import decontaminate, langid, licenses, neardup, packing, secrets, sharding, toxicity, vectors
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +47,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.nearest(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -54,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_secrets": op7_secrets,
+    "op8_neighbours": op8_neighbours,
+    "op9_licenses": op9_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {}
