@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, secrets, sharding, toxicity, vectors
+from . import decontaminate, langid, licenses, neardup, packing, secrets, sharding, toxicity, urls, vectors
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -56,6 +56,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secrets": op7_secrets,
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {}
