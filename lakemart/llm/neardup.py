@@ -152,12 +152,17 @@ def bands(sig: np.ndarray, count: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+SIGNED = "struct<bands:array<bigint>,short:array<tinyint>>"
+SIGNED_ARROW = pa.struct([("bands", pa.list_(pa.int64())), ("short", pa.list_(pa.int8()))])
+
+
 def _band_rows(size: int, count: int, rows: int):
     def run(words: Words, texts):
         h, d = shingles(words, texts, size)
-        keys = bands(dart_minhash(h, d, len(texts), count * rows), count, rows)
+        sig = dart_minhash(h, d, len(texts), count * rows)
+        keys, short = bands(sig, count, rows), (sig & U(255)).astype(np.uint8).view(np.int8)
         has = np.bincount(d, minlength=len(texts)) > 0
-        return [k if ok else [] for k, ok in zip(keys.tolist(), has.tolist())]
+        return [{"bands": k if ok else [], "short": s} for k, s, ok in zip(keys.tolist(), short.tolist(), has.tolist())]
 
     return run
 
@@ -222,10 +227,14 @@ def _star(members: DataFrame, weight: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("lead").alias("b")))
 
 
-def _each_with_each(members: DataFrame) -> DataFrame:
-    left = members.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    right = members.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"))
-    return left.join(right, "bucket").where("ca < cb").select("a", "b")
+def _each_with_each(members: DataFrame, shorts: DataFrame, least: int) -> DataFrame:
+    """The pairs of a bucket's members in different components that agree in at
+    least ``least`` signature coordinates (tested inside the join: no other pair leaves it)."""
+    known = staged(members.join(shorts, "node"))
+    side = lambda c: known.select("bucket", F.col("node").alias(c), F.col("comp").alias("c" + c), F.col("short").alias("s" + c))
+    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
+    return (side("a").alias("l").join(side("b").alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & (F.col("ca") < F.col("cb")) & (agree >= least))
+            .select("a", "b"))
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -236,11 +245,14 @@ def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(now.join(several, "bucket").select("bucket", "node", "comp", "n"))
 
 
-def _split(members: DataFrame, keys: DataFrame) -> DataFrame:
-    """The members of large buckets by each second band they have."""
-    second = members.select("bucket", "node").join(keys.select("node", F.col("bucket").alias("other")), "node")
-    return (second.where("bucket <> other")
-            .select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node").distinct())
+def _split(members: DataFrame, keys: DataFrame, band_count: int, reach: int = 8) -> DataFrame:
+    """The members of large buckets by each second band they have among the next
+    ``reach`` bands (cyclic): any three common bands of 25 hold two so close."""
+    second = keys.select("node", F.col("bucket").alias("other"), F.col("band").alias("other_band"))
+    mine = staged(members.select("bucket", "node").join(keys.select("node", "bucket", "band"), ["node", "bucket"]))
+    return (mine.join(second, (mine["node"] == second["node"])
+                      & F.pmod(F.col("other_band") - F.col("band"), F.lit(band_count)).between(1, reach))
+            .select(F.xxhash64("bucket", "other").alias("bucket"), mine["node"]))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, band_count: int = BANDS,
@@ -258,14 +270,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = Shared(spark, None, Words)
     signed = staged(base.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
-                                per_text(shared, _band_rows(shingle, band_count, band_rows), "array<bigint>",
-                                         pa.list_(pa.int64()))(F.col("text")).alias("bands")))
+                                per_text(shared, _band_rows(shingle, band_count, band_rows), SIGNED, SIGNED_ARROW)(F.col("text")).alias("s"))
+                    .select("doc_id", "key", "s.*"))
     usable = signed.where("doc_id IS NOT NULL AND key IS NOT NULL")
-    # one row per distinct text; the bands of equal texts are equal
-    distinct = staged(usable.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
-    keys = distinct.select("node", F.explode("bands").alias("bucket"))
+    # one row per distinct text; the signatures of equal texts are equal
+    distinct = staged(usable.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("short").alias("short")))
+    keys = distinct.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n"))
+    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "band", "n"))
     nodes = staged(keys.groupBy("node").agg(F.sum("n").alias("weight")))
     labels = nodes.select("node", F.col("node").alias("comp"))
     if not nodes.isEmpty():
@@ -273,6 +285,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
                       .select(F.col("doc_id").alias("node"),
                               per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()))(F.col("text")).alias("set")))
         buckets = keys.select("bucket", "node")
+        shorts = staged(distinct.select("node", "short").join(nodes, "node", "left_semi"))
+        # four standard deviations below the similarity
+        coordinates = band_count * band_rows
+        least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
 
         def link(pairs: DataFrame) -> None:
             nonlocal labels
@@ -281,11 +297,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
         link(_star(buckets.withColumn("comp", F.col("node")), nodes))
         members = _open(buckets, labels)
         large = members.where(F.col("n") > small)
-        finer = staged(_split(large, buckets)) if not large.isEmpty() else None
-        link(_each_with_each(members.where(F.col("n") <= small)))
+        finer = staged(_split(large, keys, band_count)) if not large.isEmpty() else None
+        link(_each_with_each(members.where(F.col("n") <= small), shorts, least))
         if finer is not None:
             link(_star(_open(finer, labels), nodes))
-            link(_each_with_each(_open(finer, labels)))
+            link(_each_with_each(_open(finer, labels), shorts, least))
     found = (signed.join(distinct.select("key", "node"), "key", "left")
              .join(labels, "node", "left")
              .select("doc_id", F.coalesce("comp", "node", "doc_id").alias("class_id")))

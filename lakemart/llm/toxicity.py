@@ -36,6 +36,7 @@ BUCKETS = 1 << 16
 SEGMENT = 32
 THRESHOLD = 0.3
 TAGGED = 0.5
+FAINT = 0.1
 
 
 @dataclass
@@ -113,13 +114,15 @@ def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray, start: float)
 
 
 def summary(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per document: (1, max marginal, log(1 + sum), density); all but the first 0 without tokens."""
+    """Per document: (1, max marginal, log(1 + sum), density); all but the first 0
+    without tokens. The sum leaves out marginals under FAINT, which would add up
+    to something in any long text."""
     out = np.zeros((len(counts), 4))
     out[:, 0] = 1
     some = np.flatnonzero(counts)
     if len(some):
         begin = (np.cumsum(counts) - counts)[some]
-        total = np.add.reduceat(p, begin)
+        total = np.add.reduceat(np.where(p >= FAINT, p, 0.0), begin)
         out[some, 1] = np.maximum.reduceat(p, begin)
         out[some, 2] = np.log1p(total)
         out[some, 3] = total / counts[some]
