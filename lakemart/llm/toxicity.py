@@ -36,7 +36,6 @@ BUCKETS = 1 << 16
 SEGMENT = 32
 THRESHOLD = 0.3
 TAGGED = 0.5
-FAINT = 0.1
 
 
 @dataclass
@@ -115,14 +114,14 @@ def marginals(e: np.ndarray, first: np.ndarray, trans: np.ndarray, start: float)
 
 def summary(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Per document: (1, max marginal, log(1 + sum), density); all but the first 0
-    without tokens. The sum leaves out marginals under FAINT, which would add up
+    without tokens. The sum is over tagged tokens: small marginals would add up
     to something in any long text."""
     out = np.zeros((len(counts), 4))
     out[:, 0] = 1
     some = np.flatnonzero(counts)
     if len(some):
         begin = (np.cumsum(counts) - counts)[some]
-        total = np.add.reduceat(np.where(p >= FAINT, p, 0.0), begin)
+        total = np.add.reduceat(np.where(p >= TAGGED, p, 0.0), begin)
         out[some, 1] = np.maximum.reduceat(p, begin)
         out[some, 2] = np.log1p(total)
         out[some, 3] = total / counts[some]
@@ -135,23 +134,57 @@ def sigmoid(x):
 
 # ---- fitting --------------------------------------------------------------------
 
-def token_labels(tokens: list[list[str]], toxic: np.ndarray, odds: float = 1.5, deviations: float = 5.0) -> list[np.ndarray]:
+def copy_groups(texts: list[str]) -> np.ndarray:
+    """A group number for each sample text; texts that share a pair of signature
+    coordinates over their shingles are one group. Copies of one text must not
+    count as so many documents that use its words."""
+    from .neardup import Words, bands, dart_minhash, shingles
+
+    pairs = 16
+    up = np.arange(len(texts))
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    words, seen = Words(), {}
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        h, d = shingles(words, part, 3)
+        some = np.bincount(d, minlength=len(part)) > 0
+        for i, keys_of in enumerate(bands(dart_minhash(h, d, len(part), 2 * pairs), pairs, 2).tolist()):
+            for k in keys_of if some[i] else ():
+                x, y = top(at + i), top(seen.setdefault(k, at + i))
+                up[max(x, y)] = min(x, y)
+    return np.array([top(i) for i in range(len(texts))], dtype=int)
+
+
+def token_labels(tokens: list[list[str]], toxic: np.ndarray, groups: np.ndarray, odds: float = 1.5,
+                 deviations: float = 5.0) -> list[np.ndarray]:
     """1 for the tokens of toxic documents whose word or stem marks toxicity: in
-    more toxic documents than its rate among clean ones explains, by ``deviations``
-    standard deviations (there are many stems, so chance must be ruled out)."""
-    from collections import Counter
-
-    df = (Counter(), Counter())
-    for words, y in zip(tokens, toxic):
-        df[int(y)].update({k for w in set(words) for k in keys(w)})
-    n1, n0 = max(1, int(toxic.sum())), max(1, int(len(toxic) - toxic.sum()))
+    more groups of toxic documents than its rate among clean ones explains, by
+    ``deviations`` standard deviations, and in 1.5 % of them (there are many
+    stems, so chance must be ruled out)."""
+    from collections import Counter, defaultdict
+
+    of: dict[tuple[int, int], set] = defaultdict(set)
+    for words, y, g in zip(tokens, toxic, groups):
+        of[int(y), int(g)].update(words)
+    df, n = (Counter(), Counter()), [0, 0]
+    for (y, _), words in of.items():
+        df[y].update({k for w in words for k in keys(w)})
+        n[y] += 1
+    n1, n0 = max(1, n[1]), max(1, n[0])
 
     def marks_it(k: str, c: int) -> bool:
         rate = (df[0][k] + 1) / (n0 + 2)
         return (c - n1 * rate > deviations * np.sqrt(n1 * rate * (1 - rate) + 1e-9)
                 and np.log((c + 0.5) / (n1 + 1)) - np.log((df[0][k] + 0.5) / (n0 + 1)) > odds)
 
-    marks = {k for k, c in df[1].items() if c >= 4 and marks_it(k, c)}
+    least = max(4, 0.015 * n1)
+    marks = {k for k, c in df[1].items() if c >= least and marks_it(k, c)}
     return [np.array([bool(y) and any(k in marks for k in keys(w)) for w in words], dtype=bool)
             for words, y in zip(tokens, toxic)]
 
@@ -242,10 +275,13 @@ def fit_rows(texts: list[str], toxic: list[int]) -> Model:
     if len(y) < 4 or y.min() == y.max():
         return blank
     tokens = [WORD.findall(t.lower()) for t in texts]
-    labels = token_labels(tokens, y)
-    half = np.zeros(len(y), dtype=bool)
+    groups = copy_groups(texts)
+    labels = token_labels(tokens, y, groups)
+    half = np.zeros(len(y), dtype=bool)  # copies on one side
     for c in (0, 1):
-        half[np.flatnonzero(y == c)[::2]] = True
+        half |= (y == c) & np.isin(groups, np.unique(groups[y == c])[::2])
+    if len(set(y[half])) < 2 or len(set(y[~half])) < 2:
+        half = np.arange(len(y)) % 2 == 0
     if not any(l.any() for l, h in zip(labels, half) if h):
         return blank
     fitted = fit_crf([t for t, h in zip(tokens, half) if h], [l for l, h in zip(labels, half) if h])
