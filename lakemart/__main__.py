@@ -3,7 +3,8 @@
     python -m lakemart all      --parquet /data/tpch          # whole pipeline
     python -m lakemart all      --catalog-source retail.tpch --skip-bronze
     python -m lakemart bronze   --parquet /data/tpch
-    python -m lakemart silver | gold | validate | alert  [--as-of 1998-08-02]
+    python -m lakemart validate --parquet /data/tpch          # rules 1-8 read the source
+    python -m lakemart silver | gold | alert  [--as-of 1998-08-02]
 
 Uses the active SparkSession (``spark-submit``) or builds a default one.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from . import pipeline
 from .config import Config
+from .session import apply_engine_conf
 from .sources.tables import CatalogSource, ParquetSource
 
 
@@ -37,8 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     cfg = Config(catalog=a.catalog, **({"as_of": dt.date.fromisoformat(a.as_of)} if a.as_of else {}))
     source = (ParquetSource(spark, a.parquet) if a.parquet
               else CatalogSource(spark, a.catalog_source) if a.catalog_source else None)
-    if source is None and a.step in ("all", "bronze"):
+    if source is None and a.step in ("all", "bronze", "validate"):  # rules 1-8 count the source's rows
         ap.error("--parquet or --catalog-source is required for this step")
+    apply_engine_conf(spark, source.size_bytes() if source is not None else None)
 
     if a.step == "all":
         report = pipeline.run_full_pipeline(spark, source, cfg, run_bronze=not a.skip_bronze)

@@ -3,7 +3,8 @@
 A contract is data, not code: the typed column list, the primary key, the
 foreign keys and CHECK constraints, the ordered reject branches (condition and
 reason text) and the accept condition. ``refine.py`` turns a contract into
-Spark plans; ``constraints.py`` and ``quality.py`` read the same contracts.
+Spark plans; ``quality.py`` reads the same contracts. ``contracts_for(config)``
+builds them with a configuration's rate bounds.
 
 Conditions are Spark SQL boolean expressions over the *raw* (bronze) columns.
 Accept and reject are stated separately on purpose: a NULL measure makes both
@@ -15,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from ..config import DISCOUNT_MAX, DISCOUNT_MIN, TAX_MAX, TAX_MIN
+from ..config import DEFAULT, Config
 
 
 @dataclass(frozen=True)
@@ -119,22 +120,23 @@ REASONS = {
 _D = "CAST({} AS DECIMAL(18,2))"
 
 
-def _cent_lo(col: str, lo) -> str:
-    """CAST(col AS DECIMAL(18,2)) >= lo, without the cast. Rounding to cents
-    is half-up and monotone, so the cast is >= lo exactly when the raw value
-    is above lo - 0.005 (half a cent), for any numeric input."""
-    return f"{col} > {lo - Decimal('0.005')}"
+# Beyond it a value has no DECIMAL(18,2): the cast gives NULL, so such values
+# (and NaN, which sorts above all numbers) satisfy neither form.
+_LIMIT = Decimal("9999999999999999.995")
 
 
-def _cent_hi(col: str, hi) -> str:
-    """CAST(col AS DECIMAL(18,2)) <= hi, without the cast."""
-    return f"{col} < {hi + Decimal('0.005')}"
+def _cent_in(col: str, lo, hi=None) -> str:
+    """CAST(col AS DECIMAL(18,2)) BETWEEN lo AND hi (>= lo without hi), without
+    the cast. Rounding to cents is half-up and monotone, so for any numeric input
+    the cast is >= lo exactly when the raw value is above lo - 0.005."""
+    top = _LIMIT if hi is None else hi + Decimal("0.005")
+    return f"{col} > {lo - Decimal('0.005')} AND {col} < {top}"
 
 
 def _cent_out(col: str, lo, hi=None) -> str:
     """CAST(col AS DECIMAL(18,2)) < lo [OR > hi], without the cast."""
-    out = f"{col} <= {lo - Decimal('0.005')}"
-    return out if hi is None else f"{out} OR {col} >= {hi + Decimal('0.005')}"
+    out = f"({col} <= {lo - Decimal('0.005')} AND {col} > -{_LIMIT})"
+    return out if hi is None else f"{out} OR ({col} >= {hi + Decimal('0.005')} AND {col} < {_LIMIT})"
 
 
 def _branches(table: str, conditions: list[str]) -> tuple[tuple[str, str], ...]:
@@ -240,64 +242,73 @@ PARTSUPP = TableContract(
             Check("chk_partsupp_supplycost", "ps_supplycost >= 0")),
 )
 
-LINEITEM = TableContract(
-    table="lineitem",
-    columns=(Col("l_orderkey", "bigint"), Col("l_partkey", "bigint"), Col("l_suppkey", "bigint"),
-             Col("l_linenumber", "int"), Col("l_quantity", "decimal(18,2)"),
-             Col("l_extendedprice", "decimal(18,2)"), Col("l_discount", "decimal(4,2)"),
-             Col("l_tax", "decimal(4,2)"), _s("l_returnflag"), _s("l_linestatus"), Col("l_shipdate", "date"),
-             Col("l_commitdate", "date"), Col("l_receiptdate", "date"), _s("l_shipinstruct"),
-             _s("l_shipmode"), _s("l_comment")),
-    key=("l_orderkey", "l_linenumber"),
-    key_name="pk_lineitem",
-    reject=_branches("lineitem", [
+def lineitem(config: Config = DEFAULT) -> TableContract:
+    """The lineitem contract with the configuration's rate bounds."""
+    (d_lo, d_hi), (t_lo, t_hi) = config.discount_bounds, config.tax_bounds
+    reject = _branches("lineitem", [
         "l_orderkey IS NULL OR l_linenumber IS NULL",
         "l_partkey IS NULL OR l_suppkey IS NULL",
-        f"{_D.format('l_discount')} < {DISCOUNT_MIN} OR {_D.format('l_discount')} > {DISCOUNT_MAX}",
-        f"{_D.format('l_tax')} < {TAX_MIN} OR {_D.format('l_tax')} > {TAX_MAX}",
+        f"{_D.format('l_discount')} < {d_lo} OR {_D.format('l_discount')} > {d_hi}",
+        f"{_D.format('l_tax')} < {t_lo} OR {_D.format('l_tax')} > {t_hi}",
         f"{_D.format('l_quantity')} < 0",
         f"{_D.format('l_extendedprice')} < 0",
-    ]),
-    accept=(
-        "l_orderkey IS NOT NULL", "l_linenumber IS NOT NULL", "l_partkey IS NOT NULL", "l_suppkey IS NOT NULL",
-        f"{_D.format('l_discount')} BETWEEN {DISCOUNT_MIN} AND {DISCOUNT_MAX}",
-        f"{_D.format('l_tax')} BETWEEN {TAX_MIN} AND {TAX_MAX}",
-        f"{_D.format('l_quantity')} >= 0",
-        f"{_D.format('l_extendedprice')} >= 0",
-    ),
-    not_null=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-    foreign_keys=(
-        ForeignKey("fk_lineitem_orders", ("l_orderkey",), "orders", ("o_orderkey",)),
-        ForeignKey("fk_lineitem_partsupp", ("l_partkey", "l_suppkey"), "partsupp", ("ps_partkey", "ps_suppkey")),
-    ),
-    checks=(
-        Check("chk_lineitem_discount", f"l_discount >= {DISCOUNT_MIN:.2f} AND l_discount <= {DISCOUNT_MAX}"),
-        Check("chk_lineitem_tax", f"l_tax >= {TAX_MIN:.2f} AND l_tax <= {TAX_MAX}"),
-    ),
-    fast_accept=(
-        "l_orderkey IS NOT NULL", "l_linenumber IS NOT NULL", "l_partkey IS NOT NULL", "l_suppkey IS NOT NULL",
-        _cent_lo("l_discount", DISCOUNT_MIN), _cent_hi("l_discount", DISCOUNT_MAX),
-        _cent_lo("l_tax", TAX_MIN), _cent_hi("l_tax", TAX_MAX),
-        _cent_lo("l_quantity", 0), _cent_lo("l_extendedprice", 0),
-    ),
-    fast_reject=(
-        "l_orderkey IS NULL OR l_linenumber IS NULL",
-        "l_partkey IS NULL OR l_suppkey IS NULL",
-        _cent_out("l_discount", DISCOUNT_MIN, DISCOUNT_MAX),
-        _cent_out("l_tax", TAX_MIN, TAX_MAX),
-        _cent_out("l_quantity", 0),
-        _cent_out("l_extendedprice", 0),
-    ),
-    numeric_inputs=("l_discount", "l_tax", "l_quantity", "l_extendedprice"),
-    # Rounding to cents is monotone, so a rejected rate or amount is already
-    # outside the bounds before the cast.
-    reject_hint=(
-        "l_orderkey IS NULL OR l_linenumber IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL"
-        f" OR l_discount < {DISCOUNT_MIN} OR l_discount > {DISCOUNT_MAX}"
-        f" OR l_tax < {TAX_MIN} OR l_tax > {TAX_MAX} OR l_quantity < 0 OR l_extendedprice < 0"
-    ),
-)
-
-CONTRACTS: dict[str, TableContract] = {
-    c.table: c for c in (REGION, NATION, CUSTOMER, ORDERS, PART, SUPPLIER, PARTSUPP, LINEITEM)
-}
+    ])
+    # the reasons name the bounds in use
+    was = f"({DEFAULT.discount_bounds[0]:.2f} - {DEFAULT.discount_bounds[1]:.2f})", f"({DEFAULT.tax_bounds[0]:.2f} - {DEFAULT.tax_bounds[1]:.2f})"
+    now = f"({d_lo:.2f} - {d_hi:.2f})", f"({t_lo:.2f} - {t_hi:.2f})"
+    reject = tuple((c, r.replace(was[0], now[0]) if "Discount" in r else r.replace(was[1], now[1]) if "Tax" in r else r) for c, r in reject)
+    keys = ("l_orderkey IS NOT NULL", "l_linenumber IS NOT NULL", "l_partkey IS NOT NULL", "l_suppkey IS NOT NULL")
+    return TableContract(
+        table="lineitem",
+        columns=(Col("l_orderkey", "bigint"), Col("l_partkey", "bigint"), Col("l_suppkey", "bigint"),
+                 Col("l_linenumber", "int"), Col("l_quantity", "decimal(18,2)"),
+                 Col("l_extendedprice", "decimal(18,2)"), Col("l_discount", "decimal(4,2)"),
+                 Col("l_tax", "decimal(4,2)"), _s("l_returnflag"), _s("l_linestatus"), Col("l_shipdate", "date"),
+                 Col("l_commitdate", "date"), Col("l_receiptdate", "date"), _s("l_shipinstruct"),
+                 _s("l_shipmode"), _s("l_comment")),
+        key=("l_orderkey", "l_linenumber"),
+        key_name="pk_lineitem",
+        reject=reject,
+        accept=(
+            *keys,
+            f"{_D.format('l_discount')} BETWEEN {d_lo} AND {d_hi}",
+            f"{_D.format('l_tax')} BETWEEN {t_lo} AND {t_hi}",
+            f"{_D.format('l_quantity')} >= 0",
+            f"{_D.format('l_extendedprice')} >= 0",
+        ),
+        not_null=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        foreign_keys=(
+            ForeignKey("fk_lineitem_orders", ("l_orderkey",), "orders", ("o_orderkey",)),
+            ForeignKey("fk_lineitem_partsupp", ("l_partkey", "l_suppkey"), "partsupp", ("ps_partkey", "ps_suppkey")),
+        ),
+        checks=(
+            Check("chk_lineitem_discount", f"l_discount >= {d_lo:.2f} AND l_discount <= {d_hi}"),
+            Check("chk_lineitem_tax", f"l_tax >= {t_lo:.2f} AND l_tax <= {t_hi}"),
+        ),
+        fast_accept=(*keys, _cent_in("l_discount", d_lo, d_hi), _cent_in("l_tax", t_lo, t_hi),
+                     _cent_in("l_quantity", 0), _cent_in("l_extendedprice", 0)),
+        fast_reject=(
+            reject[0][0],
+            reject[1][0],
+            _cent_out("l_discount", d_lo, d_hi),
+            _cent_out("l_tax", t_lo, t_hi),
+            _cent_out("l_quantity", 0),
+            _cent_out("l_extendedprice", 0),
+        ),
+        numeric_inputs=("l_discount", "l_tax", "l_quantity", "l_extendedprice"),
+        # Rounding to cents is monotone, so a rejected rate or amount is already
+        # outside the bounds before the cast.
+        reject_hint=(
+            "l_orderkey IS NULL OR l_linenumber IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL"
+            f" OR l_discount < {d_lo} OR l_discount > {d_hi}"
+            f" OR l_tax < {t_lo} OR l_tax > {t_hi} OR l_quantity < 0 OR l_extendedprice < 0"
+        ),
+    )
+
+
+def contracts_for(config: Config = DEFAULT) -> dict[str, TableContract]:
+    """The eight contracts under a configuration."""
+    return {c.table: c for c in (REGION, NATION, CUSTOMER, ORDERS, PART, SUPPLIER, PARTSUPP, lineitem(config))}
+
+
+CONTRACTS: dict[str, TableContract] = contracts_for()

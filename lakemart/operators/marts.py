@@ -3,10 +3,11 @@
 Plan shape used by every mart: aggregate the fact side (lineitem / orders) on
 the join key *before* the join. Partial (map-side) aggregation collapses a hot
 key to one row per task before any shuffle, and the aggregate's output is
-already hash-partitioned on the join key, so the join only exchanges the
-dimension side. The dimension side stays row-level so duplicate keys keep the
-reference's join-then-group multiplicities; AQE's skew join splits a hot
-dimension key. Every result is exact: sums of DECIMAL sums are DECIMAL.
+already hash-partitioned on the join key. The dimension side is reduced to its
+distinct payloads with a count first: a dimension key that repeats many times
+costs one row per task, and the reference's join-then-group multiplicities come
+from multiplying by that count. Every result is exact: sums and integer
+multiples of DECIMAL sums are DECIMAL.
 """
 
 from __future__ import annotations
@@ -23,16 +24,26 @@ def _revenue_by(lineitem: DataFrame, key: str) -> DataFrame:
     return lineitem.groupBy(key).agg(F.sum(net_revenue()).alias("_rev"))
 
 
+def _counted(dim: DataFrame, *columns: str) -> DataFrame:
+    """The distinct rows of the columns with their number ``_n``."""
+    return dim.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _times(amount: str) -> Column:
+    """The amount once per repeated dimension row, exactly (scale kept)."""
+    return F.col(amount).cast(REVENUE_TYPE) * F.col("_n").cast("decimal(18,0)")
+
+
 def revenue_metrics(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Net revenue per order day, with its week and quarter start."""
     per_order = _revenue_by(lineitem, "l_orderkey")
-    joined = orders.select("o_orderkey", "o_orderdate").join(
+    joined = _counted(orders, "o_orderkey", "o_orderdate").join(
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
     return joined.groupBy(
         F.col("o_orderdate").alias("date"),
         week_start("o_orderdate").alias("week_start"),
         quarter_start("o_orderdate").alias("quarter_start"),
-    ).agg(F.sum("_rev").cast(REVENUE_TYPE).alias("net_revenue"))
+    ).agg(F.sum(_times("_rev")).cast(REVENUE_TYPE).alias("net_revenue"))
 
 
 def active_flag(last: Column, as_of: dt.date | Column, window_days: int) -> Column:
@@ -43,14 +54,19 @@ def active_flag(last: Column, as_of: dt.date | Column, window_days: int) -> Colu
             .otherwise(F.lit(False)))
 
 
+def _last_orders(customer: DataFrame, last: DataFrame) -> DataFrame:
+    """Each distinct customer with the last order date (one row per key in ``last``)."""
+    return (customer.select("c_custkey", "c_name").distinct()
+            .join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .select("c_custkey", "c_name", F.col("_last").alias("last_order_date")))
+
+
 def customer_activity(customer: DataFrame, orders: DataFrame, as_of: dt.date | Column,
                       window_days: int = 365) -> DataFrame:
     """Last order date and trailing-window activity flag per customer;
     customers without orders are kept (last_order_date NULL, flag FALSE)."""
     last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("_last"))
-    joined = customer.select("c_custkey", "c_name").join(
-        last, F.col("c_custkey") == F.col("o_custkey"), "left")
-    out = joined.groupBy("c_custkey", "c_name").agg(F.max("_last").alias("last_order_date"))
+    out = _last_orders(customer, last)
     return out.select("c_custkey", "c_name", "last_order_date",
                       active_flag(F.col("last_order_date"), as_of, window_days).alias("is_active_trailing_12m"))
 
@@ -60,9 +76,7 @@ def customer_activity_latest(customer: DataFrame, orders: DataFrame, window_days
     computed in the plan as a scalar subquery (no collect, no join)."""
     as_of = orders.agg(F.max("o_orderdate")).scalar()
     last = orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("_last"))
-    joined = customer.select("c_custkey", "c_name").join(
-        last, F.col("c_custkey") == F.col("o_custkey"), "left")
-    out = joined.groupBy("c_custkey", "c_name").agg(F.max("_last").alias("last_order_date"))
+    out = _last_orders(customer, last)
     return out.select(
         "c_custkey", "c_name", "last_order_date",
         active_flag(F.col("last_order_date"), as_of, window_days).alias("is_active_trailing_12m"))
@@ -70,8 +84,8 @@ def customer_activity_latest(customer: DataFrame, orders: DataFrame, window_days
 
 def _contribution(dim: DataFrame, key: str, name: str, lineitem: DataFrame, fact_key: str) -> DataFrame:
     per_key = _revenue_by(lineitem, fact_key)
-    joined = dim.select(key, name).join(per_key, F.col(key) == F.col(fact_key), "inner")
-    return joined.groupBy(key, name).agg(F.sum("_rev").cast(REVENUE_TYPE).alias("total_revenue_contribution"))
+    joined = _counted(dim, key, name).join(per_key, F.col(key) == F.col(fact_key), "inner")
+    return joined.select(key, name, _times("_rev").cast(REVENUE_TYPE).alias("total_revenue_contribution"))
 
 
 def top_suppliers(supplier: DataFrame, lineitem: DataFrame) -> DataFrame:

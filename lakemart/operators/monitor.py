@@ -24,14 +24,16 @@ from .periods import period_days
 
 
 def weekly_revenue(revenue_metrics: DataFrame) -> DataFrame:
+    """Net revenue per week, in week order."""
     return (revenue_metrics.groupBy("week_start")
-            .agg(F.sum("net_revenue").cast(REVENUE_TYPE).alias("weekly_revenue")))
+            .agg(F.sum("net_revenue").cast(REVENUE_TYPE).alias("weekly_revenue")).orderBy("week_start"))
 
 
 def drop_first_week(weekly: DataFrame) -> DataFrame:
-    """Remove the earliest week; the minimum is a scalar subquery, computed
-    once by Spark, never collected to the driver."""
-    return weekly.where(F.col("week_start") != weekly.agg(F.min("week_start")).scalar())
+    """Remove the earliest week. The minimum is a window over the weekly rows
+    (one per calendar week), so the weeks are computed once."""
+    first = F.min("week_start").over(Window.partitionBy())
+    return (weekly.withColumn("_first", first).where(F.col("week_start") != F.col("_first")).drop("_first"))
 
 
 def complete_weeks_only(weekly: DataFrame, orders: DataFrame) -> DataFrame:
@@ -86,12 +88,13 @@ def alert_status(drops: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("anomaly_weeks"))
 
 
-def alert(spark: SparkSession, drops: DataFrame, show: bool = True) -> bool:
-    """Driver-side action: True if any week fired. Runs the plan once."""
+def alert(spark: SparkSession, drops: DataFrame, show: bool = True, threshold: float = DROP_THRESHOLD) -> bool:
+    """Driver-side action: True if any week fired. Runs the plan once.
+    ``threshold``: the one that ``drops`` was made with, for the message."""
     rows = drops.orderBy("week_start").collect()  # at most one row per week
     if rows:
         print(f"WARNING: revenue anomaly in {len(rows)} week(s) "
-              f"(week-over-week drop beyond {abs(DROP_THRESHOLD):.0%}).")
+              f"(week-over-week drop beyond {abs(threshold):.0%}).")
         if show:
             spark.createDataFrame(rows, drops.schema).show(truncate=False)
         return True

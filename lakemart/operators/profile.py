@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .periods import days_with_orders, period_days
+from ..functions import days_in_quarter, quarter_start, week_start
+from .periods import days_with_orders
 
 
 def order_dates(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -39,7 +40,16 @@ def quarters(orders: DataFrame) -> DataFrame:
 
 
 def complete_periods(orders: DataFrame) -> DataFrame:
-    return period_days(orders, "week").unionByName(period_days(orders, "quarter"))
+    """Weeks and quarters from one pass: distinct days first, then both periods of each day."""
+    day = F.col("o_orderdate").cast("date")
+    days = orders.select(day.alias("_d")).distinct()
+    both = days.select("_d", F.inline(F.array(
+        F.struct(F.lit("week").alias("period_type"), week_start("_d").alias("period_start")),
+        F.struct(F.lit("quarter").alias("period_type"), quarter_start("_d").alias("period_start")))))
+    counted = both.groupBy("period_type", "period_start").agg(F.count("_d").alias("days_with_orders"))
+    total = F.when(F.col("period_type") == "week", F.lit(7)).otherwise(days_in_quarter(F.col("period_start")))
+    return counted.select("period_type", "period_start", "days_with_orders", total.cast("int").alias("days_in_period"),
+                          (F.col("days_with_orders") == total).alias("is_complete"))
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import TABLES
+from ..config import DEFAULT, TABLES
 from .checks import Check, evaluate
-from .contracts import CONTRACTS
+from .contracts import CONTRACTS, contracts_for
+from .refine import accept_sql, reject_sql
 
 # ---------------------------------------------------------------------------
 # Rule layers and names as the reference reports them.
@@ -68,9 +69,10 @@ def _in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def rule_checks(config, lazy: bool = False) -> list[Check]:
+def rule_checks(config, lazy: bool = False, bronze=None) -> list[Check]:
     """All 52 rules as checks. ``lazy``: silver and quarantine are filters of
-    bronze, so reconciliation counts come from one bronze scan."""
+    bronze, so reconciliation counts come from one bronze scan. ``bronze``: gives
+    a table's bronze frame, whose types choose the form of the predicates."""
     out: list[Check] = []
     n = 0
 
@@ -92,10 +94,10 @@ def rule_checks(config, lazy: bool = False) -> list[Check]:
         ])
     # 9-16: bronze = silver + quarantine.
     for t in TABLES:
-        c = CONTRACTS[t]
-        if lazy:
-            acc = " AND ".join(f"({x})" for x in c.accept)
-            rej = " OR ".join(f"({x})" for x, _ in c.reject)
+        c = contracts_for(config)[t]
+        if lazy:  # the predicates that silver and quarantine use, on the same frame
+            df = bronze(t) if bronze is not None else None
+            acc, rej = accept_sql(c, df), reject_sql(c, df)
             parts = [("rows", ("bronze", t), dict(finish="abs")),
                      ("where", ("bronze", t), dict(condition=acc, sign=-1, finish="abs")),
                      ("where", ("bronze", t), dict(condition=rej, sign=-1, finish="abs"))]
@@ -180,7 +182,8 @@ def _report(df: DataFrame, with_timestamp: bool) -> DataFrame:
 
 def validation_report(layers, rules: list[int] | None = None, with_timestamp: bool = True) -> DataFrame:
     """layer, rule, violations, passed[, checked_at]: one row per rule."""
-    checks = rule_checks(layers.config, lazy=_is_lazy(layers))
+    lazy = _is_lazy(layers)
+    checks = rule_checks(layers.config, lazy=lazy, bronze=layers.bronze if lazy else None)
     if rules is not None:
         keep = set(rules)
         checks = [c for c in checks if c.id in keep]
@@ -204,7 +207,7 @@ def assert_valid(report: DataFrame) -> None:
 
 # ----------------------------- constraints --------------------------------
 
-def constraint_checks() -> list[Check]:
+def constraint_checks(config=DEFAULT) -> list[Check]:
     """The 38 declared silver constraints as checks, in declaration order:
     NOT NULL (NULL count), PRIMARY KEY (duplicates or NULL parts), FOREIGN KEY
     (non-NULL keys without a parent row) and CHECK (condition FALSE)."""
@@ -212,7 +215,7 @@ def constraint_checks() -> list[Check]:
     from ..config import BUILD_ORDER
     n = 0
     for t in BUILD_ORDER:
-        c = CONTRACTS[t]
+        c = contracts_for(config)[t]
         fr = ("silver", t)
         items = []
         for col in c.not_null:
@@ -234,7 +237,7 @@ def constraint_checks() -> list[Check]:
 
 def constraint_report(layers, names: list[str] | None = None) -> DataFrame:
     """constraint_name, table_name, constraint_type, violations."""
-    checks = constraint_checks()
+    checks = constraint_checks(layers.config)
     if names is not None:
         checks = [c for c in checks if c.labels[0] in set(names)]
     df = evaluate(layers, checks, width=3)

@@ -45,7 +45,7 @@ def q1_quarter_revenue(revenue_metrics: DataFrame, quarters=Q1_QUARTERS, cutoff:
     span = (F.col("date") >= F.lit(min(days))) & (F.col("date") < F.add_months(F.lit(max(days)), 3))
     q = quarterly_revenue(revenue_metrics.where(span & (F.col("quarter_start") < F.lit(_D(cutoff)))))
     q = q.where(F.col("quarter_start").isin(days))
-    return _qoq(q)
+    return _qoq(q).orderBy("quarter_start")
 
 
 def q1_quarter_trend(revenue_metrics: DataFrame, orders: DataFrame) -> DataFrame:
@@ -70,8 +70,8 @@ def _calendar_drops(weekly: DataFrame, threshold: float) -> DataFrame:
 
 
 def q3_wow_drop(revenue_metrics: DataFrame, threshold: float = -0.20) -> DataFrame:
-    """Weeks whose revenue fell by 20 % or more against the calendar week before."""
-    return _calendar_drops(weekly_revenue(revenue_metrics), threshold)
+    """Weeks whose revenue fell by 20 % or more against the calendar week before, in week order."""
+    return _calendar_drops(weekly_revenue(revenue_metrics), threshold).orderBy("current_week")
 
 
 def q3_wow_drop_simulated(revenue_metrics: DataFrame, cut_week: str = Q3_CUT_WEEK,
@@ -80,7 +80,8 @@ def q3_wow_drop_simulated(revenue_metrics: DataFrame, cut_week: str = Q3_CUT_WEE
     weekly = weekly_revenue(revenue_metrics)
     rev = F.col("weekly_revenue")
     cut = F.when(F.col("week_start") == F.lit(_D(cut_week)), rev * F.lit(factor)).otherwise(rev)
-    return _calendar_drops(weekly.select("week_start", cut.cast("decimal(38,5)").alias("weekly_revenue")), threshold)
+    changed = weekly.select("week_start", cut.cast("decimal(38,5)").alias("weekly_revenue"))
+    return _calendar_drops(changed, threshold).orderBy("current_week")
 
 
 def planted_cut_week(orders: DataFrame):

@@ -21,7 +21,8 @@ _NUMERIC = ("double", "float", "decimal", "int", "bigint", "smallint", "tinyint"
 
 def cents_form(df: DataFrame | None, contract: TableContract) -> bool:
     """Use the cast-free predicates when all measure inputs are numeric: the
-    DECIMAL casts then cost most of the silver filter's CPU."""
+    DECIMAL casts then cost most of the silver filter's CPU. Both forms hold for
+    the same rows (also for NaN, infinities and what no DECIMAL(18,2) holds)."""
     if df is None or not contract.fast_accept:
         return False
     types = dict(df.dtypes)
@@ -99,7 +100,9 @@ def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) ->
     # stays a separate conjunct that reaches the Parquet reader; ANDing it with
     # the OR of the branches instead lets the optimizer factor both into one
     # OR that cannot be pushed.
-    pre = contract.reject_hint or reject_sql(contract, df)
+    # The hint compares raw columns with numbers: for numeric measures only.
+    hint = contract.reject_hint if cents_form(df, contract) else None
+    pre = hint or reject_sql(contract, df)
     return (df.where(pre).selectExpr(*cols, f"{reason_sql(contract, None, df)} AS {REASON}")
             .where(f"{REASON} IS NOT NULL"))
 
@@ -125,6 +128,3 @@ def balance(df: DataFrame, contract: TableContract) -> DataFrame:
         (F.col("bronze_received") - F.col("silver_delivered") - F.col("quarantine_rejected")).alias("missing_rows"),
     )
 
-
-def split(df: DataFrame, contract: TableContract, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    return clean(df, contract), quarantine(df, contract, strict=strict)

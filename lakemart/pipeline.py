@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from .config import BUILD_ORDER, DEFAULT, LAYERS, TABLES, Config
 from .operators import monitor, quality, refine
-from .operators.contracts import CONTRACTS
+from .operators.contracts import contracts_for
 from .plans.layers import GOLD_TABLES, TableLayers, build_gold
+from .session import apply_engine_conf
 from .sources.tables import Source
 
 log = logging.getLogger("lakemart")
@@ -36,11 +37,11 @@ def use_layer(spark: SparkSession, layer: str, config: Config = DEFAULT) -> None
 
 
 def list_tables(spark: SparkSession, layer: str, config: Config = DEFAULT) -> list[str]:
-    """Table names of a layer; an unreadable layer gives an empty list."""
-    try:
-        return sorted(t.name for t in spark.catalog.listTables(config.schema(layer)))
-    except Exception:  # noqa: BLE001 - same contract as the reference's SHOW TABLES guard
+    """Table names of a layer; a layer whose schema is missing gives an empty list."""
+    schema = config.schema(layer)
+    if not spark.catalog.databaseExists(schema):  # any other catalog error rises
         return []
+    return sorted(t.name for t in spark.catalog.listTables(schema))
 
 
 def describe_table(spark: SparkSession, layer: str, table: str, config: Config = DEFAULT) -> DataFrame:
@@ -69,11 +70,12 @@ def write_bronze(spark: SparkSession, source: Source, config: Config = DEFAULT,
 
 
 def write_silver(spark: SparkSession, config: Config = DEFAULT, tables=BUILD_ORDER, strict: bool = False) -> None:
-    """Quarantine and silver per table, parents first. The quarantine filter
-    carries a pushable hint, so its scan skips clean row groups."""
+    """Quarantine and silver per table, parents first. Bronze is read twice per
+    table; the quarantine filter carries a pushable hint, so its scan skips clean
+    row groups."""
     for t in tables:
         bronze = spark.table(config.fq("bronze", t))
-        c = CONTRACTS[t]
+        c = contracts_for(config)[t]
         write_table(refine.quarantine(bronze, c, strict=strict), config.fq("silver", f"quarantine_{t}"))
         write_table(refine.clean(bronze, c), config.fq("silver", t))
 
@@ -102,7 +104,7 @@ def revenue_alert(spark: SparkSession, config: Config = DEFAULT, show: bool = Tr
     weekly = monitor.weekly_revenue(spark.table(config.fq("gold", "revenue_metrics")))
     drops = monitor.revenue_drops(weekly, adjacency="row", weeks="drop_first", inclusive=False,
                                   threshold=config.drop_threshold)
-    return monitor.alert(spark, drops, show=show)
+    return monitor.alert(spark, drops, show=show, threshold=config.drop_threshold)
 
 
 def run_full_pipeline(spark: SparkSession, source: Source, config: Config = DEFAULT,
@@ -110,8 +112,10 @@ def run_full_pipeline(spark: SparkSession, source: Source, config: Config = DEFA
     """schemas -> bronze (skippable) -> silver -> gold -> validation -> alert.
 
     Validation failures are reported, not raised; any error is logged and
-    re-raised. Returns the validation report.
+    re-raised. Returns the validation report. The session gets the engine's
+    settings first (``apply_engine_conf``), sized by the source's files.
     """
+    apply_engine_conf(spark, source.size_bytes() if source is not None else None)
     try:
         log.info("step 1/5: schemas")
         ensure_schemas(spark, config)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..operators import marts, refine
-from ..operators.contracts import CONTRACTS
+from ..operators.contracts import contracts_for
 from ..sources.tables import Source
 
 GOLD_TABLES = ("revenue_metrics", "customer_activity", "top_suppliers", "top_parts")
@@ -86,15 +86,15 @@ class LazyLayers(Layers):
         return self._get("bronze", t, make)
 
     def silver(self, t: str) -> DataFrame:
-        return self._get("silver", t, lambda: refine.clean(self.bronze(t), CONTRACTS[t]))
+        return self._get("silver", t, lambda: refine.clean(self.bronze(t), contracts_for(self.config)[t]))
 
     def quarantine(self, t: str) -> DataFrame:
-        return self._get("quarantine", t, lambda: refine.quarantine(self.bronze(t), CONTRACTS[t]))
+        return self._get("quarantine", t, lambda: refine.quarantine(self.bronze(t), contracts_for(self.config)[t]))
 
     def balance(self, t: str) -> DataFrame:
         # One scan of bronze with conditional counts (silver and quarantine are
         # filters of it), instead of three scans.
-        return refine.balance(self.bronze(t), CONTRACTS[t])
+        return refine.balance(self.bronze(t), contracts_for(self.config)[t])
 
     def gold(self, name: str) -> DataFrame:
         return self._get("gold", name, lambda: build_gold(self, name))
@@ -122,10 +122,10 @@ class TableLayers(Layers):
 
     @cached_property
     def _silver_tables(self) -> set[str]:
-        try:
-            return {t.name for t in self.spark.catalog.listTables(self.config.schema("silver"))}
-        except Exception:  # missing schema: no quarantine tables
+        schema = self.config.schema("silver")
+        if not self.spark.catalog.databaseExists(schema):  # any other catalog error rises
             return set()
+        return {t.name for t in self.spark.catalog.listTables(schema)}
 
     def quarantine(self, t: str) -> DataFrame | None:
         name = f"quarantine_{t}"

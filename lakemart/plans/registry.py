@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, TABLES, Config
 from ..operators import audits, marts, monitor, profile, quality, questions, refine
-from ..operators.contracts import CONTRACTS
+from ..operators.contracts import contracts_for
 from ..sources.fixtures import fixture_source
 from ..sources.tables import ParquetSource
 from .layers import LazyLayers
@@ -62,8 +62,9 @@ for _t in TABLES:
         register(f"scan_{_t}", lambda e, t=_t: e.base.table(t))
     else:  # partsupp is not among the driver's tables: derived from lineitem
         register(f"scan_{_t}", lambda e, t=_t: e.fx_source.table(t))
+    # the copy without its write-time stamp (the stamp: ``ingest_stamp`` and the pipeline test)
     register(f"bronze_{_t}", lambda e, t=_t: LazyLayers(
-        e.base if t in RAW_TABLES else e.fx_source, e.config, stamp=True).bronze(t))
+        e.base if t in RAW_TABLES else e.fx_source, e.config, stamp=True).bronze(t).drop(refine.INGESTED_AT))
 
 
 def _ingest_stamp(e: Env) -> DataFrame:
@@ -85,7 +86,7 @@ register("ingest_stamp", _ingest_stamp)
 for _t in TABLES:
     register(f"silver_{_t}", lambda e, t=_t: e.fx.silver(t))
     register(f"quarantine_{_t}", lambda e, t=_t: e.fx.quarantine(t))
-    register(f"unaccounted_{_t}", lambda e, t=_t: refine.unaccounted(e.fx.bronze(t), CONTRACTS[t]))
+    register(f"unaccounted_{_t}", lambda e, t=_t: refine.unaccounted(e.fx.bronze(t), contracts_for(e.config)[t]))
 
 # ---- 2.4 constraints ------------------------------------------------------------
 for _name, _table, _type in quality.declared_constraints():

@@ -65,32 +65,43 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
 MB = 1024 * 1024
 
 
-def scale_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.3,
-               target_partition_mb: int = 128, max_split_mb: int = 256) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.05,
+               target_partition_mb: int = 512, max_split_mb: int = 1024, max_blocks: int = 1_000_000_000) -> dict[str, str]:
     """Partition sizing for an input of ``input_bytes`` on ``total_cores``.
 
     * scan splits: at most ``max_split_mb``, but small enough that every core
       gets about three splits;
-    * shuffle partitions: the expected shuffle volume (``shuffle_ratio`` of the
-      input: the plans aggregate map-side before exchanging) divided into
-      ``target_partition_mb`` pieces, never fewer than two waves of cores. AQE
-      then coalesces small partitions and splits skewed ones, so this is an
-      upper bound that keeps every reducer within executor memory.
-
-    For ~100 TB on 1000 executors x 8 cores: 256 MB splits (~400k scan tasks)
-    and ~240k shuffle partitions before AQE coalescing.
+    * shuffle partitions: the bytes that are shuffled (``shuffle_ratio`` of the
+      input: a few columns of it, aggregated map-side before the exchange) in
+      pieces of ``target_partition_mb``, which a task sorts with spilling; never
+      fewer than two waves of cores;
+    * map tasks x reducers stay under ``max_blocks`` shuffle blocks, so blocks
+      don't get tiny and the driver can hold their statistics.
+
+    For ~100 TB on 1000 executors x 8 cores: 1 GB splits (~95,000 map tasks) and
+    ~10,000 reducers: about 10^9 blocks of some 5 kB.
     """
     split = max(4 * MB, min(max_split_mb * MB, input_bytes // max(1, 3 * total_cores)))
-    shuffle = int(input_bytes * shuffle_ratio) // (target_partition_mb * MB)
+    maps = max(1, input_bytes // split)
+    by_bytes = int(input_bytes * shuffle_ratio) // (target_partition_mb * MB)
+    shuffle = min(max(2 * total_cores, by_bytes), max(total_cores, max_blocks // maps))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(max(2 * total_cores, shuffle)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * MB),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(128, target_partition_mb) * MB),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
 
 
+def apply_engine_conf(spark: SparkSession, input_bytes: int | None = None) -> None:
+    """The settings that the plans rely on, for any session; partition sizing
+    too where the input's size is known."""
+    apply_conf(spark, ENGINE_CONF)
+    if input_bytes:
+        apply_conf(spark, scale_conf(input_bytes, max(1, spark.sparkContext.defaultParallelism)))
+
+
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)

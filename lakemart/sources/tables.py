@@ -11,6 +11,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class Source:
@@ -24,6 +25,10 @@ class Source:
     def has(self, name: str) -> bool:  # pragma: no cover - interface
         raise NotImplementedError
 
+    def size_bytes(self) -> int | None:
+        """Bytes of the source's files, if they are known (for partition sizing)."""
+        return None
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
@@ -79,6 +84,12 @@ class ParquetSource(Source):
             self._frames[name] = read_parquet(self.spark, self.path(name))
         return self._frames[name]
 
+    def size_bytes(self) -> int | None:
+        """From the file listing alone; any file system that Spark reads."""
+        files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(self.root))
+        return files.agg(F.sum("length")).first()[0]
+
     def __repr__(self) -> str:
         return f"ParquetSource({self.root!r})"
 

@@ -2,7 +2,7 @@
 
 The batch bronze step overwrites a full copy each run. At scale the same copy
 (source rows unchanged plus ``_ingested_at``) is better done incrementally: a
-file stream over the source folder picks up only new files, stamps them, and
+file stream over the source table picks up only new files, stamps them, and
 appends to the bronze table. The checkpoint (under the cluster's shared
 ``spark.checkpoint.dir``) records which files are done, so a restarted or
 failed run neither loses nor duplicates a file. ``availableNow`` processes
@@ -25,14 +25,21 @@ from ..session import ensure_checkpoint_dir
 
 def bronze_stream(spark: SparkSession, folder: str, table: str, target: str,
                   checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start an ``availableNow`` stream copying ``{folder}/{table}*.parquet``
-    files into the catalog table ``target``. Returns the running query."""
-    schema = spark.read.parquet(os.path.join(folder, f"{table}.parquet")).schema
-    reader = (spark.readStream.schema(schema).format("parquet")
-              .option("pathGlobFilter", f"{table}*.parquet"))
+    """Start an ``availableNow`` stream copying the source table
+    ``{folder}/{table}.parquet``, a file or a folder of files, into the catalog
+    table ``target``. Returns the running query. Other tables of the folder are
+    never read, whatever their names; a table without any file is an error."""
+    path = os.path.join(folder, f"{table}.parquet")
+    source = spark.read.parquet(path)  # fails if there is nothing at the path
+    files = source.inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no Parquet file in {path}")
+    reader = spark.readStream.schema(source.schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.load(folder).withColumn(INGESTED_AT, F.current_timestamp())
+    if len(files) == 1 and files[0].rstrip("/").endswith(f"/{table}.parquet"):  # a single file
+        reader, path = reader.option("pathGlobFilter", f"{table}.parquet"), folder
+    stream = reader.load(path).withColumn(INGESTED_AT, F.current_timestamp())
     if checkpoint is None:
         base = ensure_checkpoint_dir(spark)
         if not base:
