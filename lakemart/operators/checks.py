@@ -218,7 +218,7 @@ def evaluate(layers, checks: list[Check], width: int | None = None) -> DataFrame
 
     # In lazy layers without a stamp, bronze *is* the source plan: share the
     # frame so both row counts come from one aggregate (one scan).
-    same_source = getattr(layers, "stamp", True) is False
+    same_source = getattr(layers, "copies_source", False) and not layers.stamp
 
     def canon(fr: Frame) -> Frame:
         return ("bronze", fr[1]) if same_source and fr[0] == "source" else fr

@@ -16,6 +16,11 @@ INGESTED_AT = "_ingested_at"
 REASON = "rejection_reason"
 
 
+# Columns that some deliveries of the source lack; no predicate or mart reads them.
+OPTIONAL = frozenset(
+    "r_comment n_comment c_address c_phone c_comment s_address s_phone s_comment p_mfgr p_container p_comment ps_comment "
+    "o_clerk o_shippriority o_comment l_commitdate l_receiptdate l_shipinstruct l_shipmode l_comment".split())
+
 _NUMERIC = ("double", "float", "decimal", "int", "bigint", "smallint", "tinyint")
 
 
@@ -61,11 +66,13 @@ def reason_sql(contract: TableContract, otherwise: str | None = UNKNOWN_REASON,
 
 
 def silver_projection_sql(columns: list[str], contract: TableContract) -> list[str]:
-    """Typed, trimmed silver columns as SQL. A contract column absent from the
-    input is emitted as a typed NULL (it is never used by a predicate)."""
+    """Typed, trimmed silver columns as SQL. A descriptive column (``OPTIONAL``)
+    that the input lacks is emitted as a typed NULL; any other must be there."""
     present = set(columns)
     out = []
     for c in contract.columns:
+        if c.name not in present and c.name not in OPTIONAL:
+            raise ValueError(f"{contract.table}: the input lacks column {c.name}")
         if c.name not in present:
             out.append(f"CAST(NULL AS {c.type}) AS {c.name}")
         elif c.type == "string":
@@ -84,6 +91,11 @@ def clean(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.where(accept_sql(contract, df)).selectExpr(*silver_projection_sql(df.columns, contract))
 
 
+def typed(df: DataFrame, contract: TableContract) -> DataFrame:
+    """All rows in silver's types, none filtered."""
+    return df.selectExpr(*silver_projection_sql(df.columns, contract))
+
+
 def quarantine(df: DataFrame, contract: TableContract, strict: bool = False) -> DataFrame:
     """Quarantine table: raw columns and types plus ``rejection_reason``.
 

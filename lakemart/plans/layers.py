@@ -59,9 +59,13 @@ class Layers:
 class LazyLayers(Layers):
     """Every layer derived lazily from ``source``.
 
+    ``copies_source``: without a stamp, bronze is the source's own plan.
+
     ``stamp`` adds ``_ingested_at`` to bronze (off for oracle-compared plans).
     """
 
+    copies_source = True
+
     def __init__(self, source: Source, config: Config = DEFAULT, stamp: bool = False):
         self.src = source
         self.spark = source.spark
@@ -100,6 +104,25 @@ class LazyLayers(Layers):
         return self._get("gold", name, lambda: build_gold(self, name))
 
 
+class TypedLayers(LazyLayers):
+    """Silver typed but not filtered: what the declared constraints would have to
+    hold against if nothing were quarantined."""
+
+    def silver(self, t: str) -> DataFrame:
+        return self._get("silver", t, lambda: refine.typed(self.bronze(t), contracts_for(self.config)[t]))
+
+
+class LossyLayers(LazyLayers):
+    """A bronze copy that lost some rows of every table (for the rules that
+    compare the copy with its source)."""
+
+    copies_source = False
+
+    def bronze(self, t: str) -> DataFrame:
+        key = contracts_for(self.config)[t].key[0]
+        return self._get("bronze", t, lambda: self.src.table(t).where(F.coalesce(F.col(key) % 5, F.lit(0)) != 1))
+
+
 class TableLayers(Layers):
     """Layers read from the catalog tables a pipeline run wrote."""
 

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 
+import pytest
+
 from lakemart import pipeline
 from lakemart.config import TABLES, Config
 from lakemart.operators import quality
@@ -62,21 +64,40 @@ def test_streaming_bronze_ingest(spark, scratch):
     from lakemart.streaming import ingest_available
 
     folder = tempfile.mkdtemp(prefix="stream-src-", dir=scratch)
-    shutil.copy(os.path.join(SF_SMALL, "orders.parquet"), os.path.join(folder, "orders.parquet"))
+    src = spark.read.parquet(os.path.join(SF_SMALL, "part.parquet"))
+    shutil.copy(os.path.join(SF_SMALL, "part.parquet"), os.path.join(folder, "part.parquet"))
+    # neighbours whose names begin alike are other tables
+    shutil.copy(os.path.join(SF_SMALL, "orders.parquet"), os.path.join(folder, "partsupp.parquet"))
+    shutil.copy(os.path.join(SF_SMALL, "orders.parquet"), os.path.join(folder, "part_old.parquet"))
     spark.sql("CREATE SCHEMA IF NOT EXISTS bronze_stream")
     ckpt = tempfile.mkdtemp(prefix="ckpt-", dir=scratch)
-    ingest_available(spark, folder, "orders", "bronze_stream.orders", checkpoint=ckpt)
-    src = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
-    got = spark.table("bronze_stream.orders")
+    ingest_available(spark, folder, "part", "bronze_stream.part", checkpoint=ckpt)
+    got = spark.table("bronze_stream.part")
     assert got.count() == src.count()
     assert got.drop("_ingested_at").exceptAll(src).isEmpty()
     # A second run with no new files adds nothing (exactly-once by checkpoint).
+    ingest_available(spark, folder, "part", "bronze_stream.part", checkpoint=ckpt)
+    assert spark.table("bronze_stream.part").count() == src.count()
+
+
+def test_streaming_ingest_of_a_table_folder(spark, scratch):
+    """A table that Spark wrote (a folder of files): every file once, new ones incrementally."""
+    from lakemart.streaming import ingest_available
+
+    folder = tempfile.mkdtemp(prefix="stream-src-", dir=scratch)
+    src = spark.read.parquet(os.path.join(SF_SMALL, "orders.parquet"))
+    path = os.path.join(folder, "orders.parquet")
+    src.repartition(3).write.parquet(path)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS bronze_stream")
+    ckpt = tempfile.mkdtemp(prefix="ckpt-", dir=scratch)
     ingest_available(spark, folder, "orders", "bronze_stream.orders", checkpoint=ckpt)
+    assert spark.table("bronze_stream.orders").drop("_ingested_at").exceptAll(src).isEmpty()
     assert spark.table("bronze_stream.orders").count() == src.count()
-    # A new file is picked up incrementally.
-    shutil.copy(os.path.join(SF_SMALL, "orders.parquet"), os.path.join(folder, "orders_2.parquet"))
+    src.limit(10).write.mode("append").parquet(path)
     ingest_available(spark, folder, "orders", "bronze_stream.orders", checkpoint=ckpt)
-    assert spark.table("bronze_stream.orders").count() == 2 * src.count()
+    assert spark.table("bronze_stream.orders").count() == src.count() + 10
+    with pytest.raises(Exception, match="no_such|PATH_NOT_FOUND"):
+        ingest_available(spark, folder, "no_such", "bronze_stream.none", checkpoint=ckpt + "-none")
 
 
 def test_cli_steps_and_catalog_helpers(spark, scratch):

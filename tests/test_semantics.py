@@ -244,17 +244,86 @@ def test_cast_free_cent_bounds_equal_cast_form(spark):
             x = math.nextafter(x, -math.inf)
     rng = random.Random(7)
     vals |= {round(rng.uniform(-0.02, 0.12), rng.choice([2, 3, 4, 6])) for _ in range(300)}
-    vals = sorted(vals)
+    finite = sorted(vals)
+    vals = finite + [math.nan, math.inf, -math.inf]
     rows = [(1, 1, 1, 1, v, v, v, v) for v in vals] + [(1, 1, 1, 1, None, 1.0, 0.05, 0.02)]
+    rows += [(1, 1, 1, 1, *[v if i == k else 0.05 for i in range(4)]) for v in vals[-3:] for k in range(4)]
     cols = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, " \
            "l_quantity double, l_extendedprice double, l_discount double, l_tax double"
-    for typ in ("double", "decimal(12,6)"):
-        df = spark.createDataFrame(rows, cols).selectExpr(
+    for typ in ("double", "float", "decimal(12,6)"):
+        these = [r for r in rows if typ != "decimal(12,6)" or all(v is None or math.isfinite(v) for v in r)]
+        df = spark.createDataFrame(these, cols).selectExpr(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
             *[f"CAST({k} AS {typ}) AS {k}" for k in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")])
         fast_a, fast_r = accept_sql(c, df), reject_sql(c, df)
         cast_a, cast_r = accept_sql(c), reject_sql(c)
         assert fast_a != cast_a  # the cast-free form is in use for numeric inputs
-        got = df.selectExpr(f"({fast_a}) AS a", f"({fast_r}) AS r", f"({cast_a}) AS ca", f"({cast_r}) AS cr").collect()
-        for row, v in zip(got, rows):
+        # TRUE or not: NULL and FALSE both keep a row out
+        is_true = [f"coalesce({x}, false) AS {n}" for x, n in ((fast_a, "a"), (fast_r, "r"), (cast_a, "ca"), (cast_r, "cr"))]
+        got = df.selectExpr(*is_true).collect()
+        for row, v in zip(got, these):
             assert (row.a, row.r) == (row.ca, row.cr), (typ, v)
+
+
+LINE = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity {0}, l_extendedprice {0}, l_discount {0}, l_tax {0}, " \
+       "l_returnflag string, l_linestatus string, l_shipdate date"
+
+
+def test_text_measures_split_like_numbers(spark):
+    from decimal import Decimal
+
+    values = [(1.0, 5.0, 0.05, 0.02), (1.0, 5.0, 0.15, 0.02), (1.0, 5.0, 0.104, 0.02), (-1.0, 5.0, 0.05, 0.02), (1.0, 5.0, None, 0.02)]
+    c = CONTRACTS["lineitem"]
+    split = {}
+    for typ, make in (("double", float), ("string", str), ("decimal(12,4)", lambda v: Decimal(str(v)))):
+        df = spark.createDataFrame([(i, 1, 1, 1, *[None if v is None else make(v) for v in row], "N", "O", None) for i, row in enumerate(values)],
+                                   LINE.format(typ))
+        split[typ] = (sorted(r.l_orderkey for r in refine.clean(df, c).collect()),
+                      sorted((r.l_orderkey, r.rejection_reason) for r in refine.quarantine(df, c).collect()),
+                      sorted(r.l_orderkey for r in refine.unaccounted(df, c).collect()))
+    assert split["double"][0] == [0, 2] and split["double"][2] == [4]
+    assert split["string"] == split["double"] == split["decimal(12,4)"]
+
+
+def test_two_configurations_side_by_side(spark):
+    from decimal import Decimal
+
+    from lakemart.config import Config
+    from lakemart.plans.layers import LazyLayers
+    from lakemart.sources.tables import FrameSource
+
+    df = spark.createDataFrame([(i, 1, 1, 1, 1.0, 5.0, d, 0.02, "N", "O", None) for i, d in enumerate((0.03, 0.07, 0.2))], LINE.format("double"))
+    src = FrameSource(spark, {"lineitem": df})
+    wide, narrow = LazyLayers(src), LazyLayers(src, Config(discount_bounds=(Decimal("0"), Decimal("0.05"))))
+    assert [sorted(r.l_orderkey for r in x.silver("lineitem").collect()) for x in (wide, narrow)] == [[0, 1], [0]]
+    reasons = {r.l_orderkey: r.rejection_reason for r in narrow.quarantine("lineitem").collect()}
+    assert reasons == {1: "Discount out of allowed range (0.00 - 0.05)", 2: "Discount out of allowed range (0.00 - 0.05)"}
+
+
+def test_a_needed_column_must_be_there(spark):
+    with pytest.raises(ValueError, match="c_name"):
+        refine.clean(spark.createDataFrame([(1, 2)], "c_custkey long, c_nationkey long"), CONTRACTS["customer"])
+
+
+def test_results_come_in_order(spark):
+    import __spark_entry__ as E
+
+    for key, column in (("weekly_revenue", "week_start"), ("q1_quarter_revenue", "quarter_start"), ("q3_wow_drop", "current_week"),
+                        ("q3_wow_drop_simulated", "current_week")):
+        got = [r[column] for r in E.queries()[key](spark, "/root/testdata/sf0.001").collect()]
+        assert got and got == sorted(got), key
+
+
+def test_a_repeated_dimension_key_stays_exact_and_small(spark):
+    """40,000 copies of one supplier: the join gets one row for them, the sums are multiplied."""
+    from decimal import Decimal
+
+    from lakemart.operators import marts
+
+    dim = spark.range(40_000).selectExpr("7L AS s_suppkey", "'x' AS s_name").union(spark.createDataFrame([(8, "y")], "s_suppkey long, s_name string"))
+    fact = spark.createDataFrame([(7, Decimal("1.50"), Decimal("0.00")), (7, Decimal("2.00"), Decimal("0.10")), (8, Decimal("1.00"), Decimal("0.00"))],
+                                 "l_suppkey long, l_extendedprice decimal(18,2), l_discount decimal(4,2)")
+    counted = marts._counted(dim, "s_suppkey", "s_name")
+    assert sorted((r.s_suppkey, r._n) for r in counted.collect()) == [(7, 40_000), (8, 1)]
+    got = {r.s_suppkey: r.total_revenue_contribution for r in marts.top_suppliers(dim, fact).collect()}
+    assert got == {7: Decimal("132000.0000"), 8: Decimal("1.0000")}
