@@ -38,6 +38,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 #: Buckets of up to so many members compare each with each; larger ones are split first.
 SMALL = 64
+#: Characters that a worker handles at a time.
+SLICE = 2_000_000
 
 U = np.uint64
 _GOLD, _M1, _M2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -54,7 +56,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """64-bit hashes of words; the store is emptied when full."""
 
-    def __init__(self, _=None, room: int = 400_000):
+    def __init__(self, _=None, room: int = 250_000):
         self.room, self.known = room, {}
 
     def new(self, w: str) -> int:
@@ -162,7 +164,11 @@ def _band_rows(size: int, count: int, rows: int):
         sig = dart_minhash(h, d, len(texts), count * rows)
         keys, short = bands(sig, count, rows), (sig & U(255)).astype(np.uint8).view(np.int8)
         has = np.bincount(d, minlength=len(texts)) > 0
-        return [{"bands": k if ok else [], "short": s} for k, s, ok in zip(keys.tolist(), short.tolist(), has.tolist())]
+        ends = np.concatenate([[0], np.cumsum(np.where(has, count, 0))]).astype(np.int32)
+        fixed = (np.arange(len(texts) + 1) * count * rows).astype(np.int32)
+        return pa.StructArray.from_arrays([
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[has].ravel())),
+            pa.ListArray.from_arrays(pa.array(fixed), pa.array(short.ravel()))], fields=list(SIGNED_ARROW))
 
     return run
 
@@ -171,7 +177,9 @@ def _shingle_rows(size: int):
     def run(words: Words, texts):
         h, d = shingles(words, texts, size)
         ends = np.cumsum(np.bincount(d, minlength=len(texts)))
-        return [np.unique(x).view(np.int64).tolist() for x in np.split(h, ends[:-1])]
+        sets = [np.unique(x) for x in np.split(h, ends[:-1])] if len(texts) else []
+        at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
 
     return run
 
@@ -227,14 +235,19 @@ def _star(members: DataFrame, weight: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("lead").alias("b")))
 
 
-def _each_with_each(members: DataFrame, shorts: DataFrame, least: int) -> DataFrame:
-    """The pairs of a bucket's members in different components that agree in at
-    least ``least`` signature coordinates (tested inside the join: no other pair leaves it)."""
-    known = staged(members.join(shorts, "node"))
-    side = lambda c: known.select("bucket", F.col("node").alias(c), F.col("comp").alias("c" + c), F.col("short").alias("s" + c))
+def _each_with_each(members: DataFrame, known: DataFrame, similarity: float, least: int) -> DataFrame:
+    """The linked pairs of a bucket's members in different components. Both tests
+    are inside the join, the cheap one first: agreement in ``least`` signature
+    coordinates, then the exact similarity. No pair leaves it but a link."""
+    full = staged(members.select("bucket", "node", "comp").join(known, "node"))
+    side = lambda c: full.select("bucket", F.col("node").alias(c), F.col("comp").alias("c" + c), F.col("short").alias("s" + c),
+                                 F.col("set").alias("t" + c))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    return (side("a").alias("l").join(side("b").alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & (F.col("ca") < F.col("cb")) & (agree >= least))
-            .select("a", "b"))
+    common = F.size(F.array_intersect("ta", "tb"))
+    linked = common * (1 + similarity) >= similarity * (F.size("ta") + F.size("tb")) - 1e-9
+    return staged(side("a").alias("l").join(side("b").alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & (F.col("ca") < F.col("cb"))
+                                            & F.when(agree >= least, linked).otherwise(False))
+                  .select("a", "b").distinct())
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -270,7 +283,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = Shared(spark, None, Words)
     signed = staged(base.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
-                                per_text(shared, _band_rows(shingle, band_count, band_rows), SIGNED, SIGNED_ARROW)(F.col("text")).alias("s"))
+                                per_text(shared, _band_rows(shingle, band_count, band_rows), SIGNED, SIGNED_ARROW, SLICE)(F.col("text")).alias("s"))
                     .select("doc_id", "key", "s.*"))
     usable = signed.where("doc_id IS NOT NULL AND key IS NOT NULL")
     # one row per distinct text; the signatures of equal texts are equal
@@ -283,25 +296,27 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHIN
     if not nodes.isEmpty():
         sets = staged(base.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
                       .select(F.col("doc_id").alias("node"),
-                              per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()))(F.col("text")).alias("set")))
+                              per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set")))
         buckets = keys.select("bucket", "node")
-        shorts = staged(distinct.select("node", "short").join(nodes, "node", "left_semi"))
+        known = staged(distinct.select("node", "short").join(sets, "node"))
         # four standard deviations below the similarity
         coordinates = band_count * band_rows
         least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
 
-        def link(pairs: DataFrame) -> None:
-            nonlocal labels
-            labels = merge(labels, _verified(staged(_ordered(pairs)), sets, similarity))
+        def star(members: DataFrame) -> DataFrame:
+            return merge(labels, _verified(staged(_ordered(_star(members, nodes))), sets, similarity))
 
-        link(_star(buckets.withColumn("comp", F.col("node")), nodes))
+        def rest(members: DataFrame) -> DataFrame:
+            return merge(labels, _each_with_each(members, known, similarity, least))
+
+        labels = star(buckets.withColumn("comp", F.col("node")))
         members = _open(buckets, labels)
         large = members.where(F.col("n") > small)
         finer = staged(_split(large, keys, band_count)) if not large.isEmpty() else None
-        link(_each_with_each(members.where(F.col("n") <= small), shorts, least))
+        labels = rest(members.where(F.col("n") <= small))
         if finer is not None:
-            link(_star(_open(finer, labels), nodes))
-            link(_each_with_each(_open(finer, labels), shorts, least))
+            labels = star(_open(finer, labels))
+            labels = rest(_open(finer, labels))
     found = (signed.join(distinct.select("key", "node"), "key", "left")
              .join(labels, "node", "left")
              .select("doc_id", F.coalesce("comp", "node", "doc_id").alias("class_id")))
