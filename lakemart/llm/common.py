@@ -47,7 +47,7 @@ class Shared:
 
     def get(self):
         if self.id not in Shared.held:
-            while len(Shared.held) > 3:  # the latest few
+            while len(Shared.held) > 1:  # the latest two
                 Shared.held.pop(next(iter(Shared.held)))
             Shared.held[self.id] = self.make(self.broadcast.value)
         return Shared.held[self.id]
@@ -55,8 +55,8 @@ class Shared:
 
 def per_text(shared: Shared, rows: Callable, kind: str, arrow_type, limit: int = 4_000_000) -> Callable:
     """An Arrow UDF of a text column: ``rows(worker's object, texts)`` gives a
-    value for each text, called on slices of about ``limit`` characters. It is
-    evaluated once, wherever its column is used."""
+    value for each text, as a list or an Arrow array, called on slices of about
+    ``limit`` characters. It is evaluated once, wherever its column is used."""
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         mine = shared.get()
@@ -68,9 +68,10 @@ def per_text(shared: Shared, rows: Callable, kind: str, arrow_type, limit: int =
                 while to < len(texts) and (to == at or size + len(texts[to] or "") <= limit):
                     size += len(texts[to] or "")
                     to += 1
-                out += rows(mine, texts[at:to])
+                part = rows(mine, texts[at:to])
+                out.append(part if isinstance(part, pa.Array) else pa.array(part, arrow_type))
                 at = to
-            yield pa.array(out, arrow_type)
+            yield pa.concat_arrays(out) if out else pa.array([], arrow_type)
 
     return F.arrow_udf(run, kind).asNondeterministic()
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, text_bytes
+from .common import Shared, slices, text_bytes
 
 CAPACITY = 2048
 END_ID = 1
@@ -67,7 +67,7 @@ class WordIds:
     #: Letters whose lower case depends on their place or is longer.
     MOODY = re.compile("[\u0130\u03a3]")
 
-    def __init__(self, spec: str, room: int = 800_000):
+    def __init__(self, spec: str, room: int = 500_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -171,9 +171,6 @@ class Packer:
         return out
 
 
-_STORES: dict[int, WordIds] = {}
-
-
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, slack: float = SLACK,
          end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start (ids of the document before it), length,
@@ -184,7 +181,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, slack:
     gives an empty result. A text of any length is read whole; memory per
     worker is one Arrow slice, the open sequences and the word store."""
     with open(tokenizer_path, encoding="utf-8") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file: fixed size
+        shared = Shared(docs.sparkSession, f.read(), WordIds)  # one vocabulary file: fixed size
     doc_type = docs.schema["doc_id"].dataType
     schema = T.StructType([
         T.StructField("doc_id", doc_type), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -201,10 +198,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, slack:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        key = hash(spec.value)
-        if key not in _STORES:
-            _STORES[key] = WordIds(spec.value)
-        store = _STORES[key]
+        store = shared.get()
         packer = Packer(TaskContext.get().partitionId(), capacity, slack)
 
         def rows():
