@@ -197,14 +197,14 @@ def fit_crf(tokens: list[list[str]], labels: list[np.ndarray], steps: int = 80,
     for words, y in zip(tokens, labels):
         for i in range(0, len(words), SEGMENT):
             (hot if y[i:i + SEGMENT].any() else cold).append((words[i:i + SEGMENT], y[i:i + SEGMENT]))
-    hot = [hot[i] for i in rng.permutation(len(hot))[:6000]]
+    hot = [hot[i] for i in rng.permutation(len(hot))[:4000]]
     keep = rng.permutation(len(cold))[:clean_share * max(len(hot), 50)]
     segments = hot + [cold[i] for i in keep]
     n = len(segments)
     known: dict[str, list[int]] = {}
     width = 5
-    feats = np.full((n, SEGMENT, width), BUCKETS)  # BUCKETS: no feature
-    y = np.zeros((n, SEGMENT), dtype=int)
+    feats = np.full((n, SEGMENT, width), BUCKETS, dtype=np.int32)  # BUCKETS: no feature
+    y = np.zeros((n, SEGMENT), dtype=np.int8)
     mask = np.zeros((n, SEGMENT), dtype=bool)
     for i, (words, lab) in enumerate(segments):
         for t, w in enumerate(words):
@@ -293,7 +293,7 @@ def fit_rows(texts: list[str], toxic: list[int]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2000, max_sample_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 1200, max_sample_chars: int = 20_000) -> Model:
     """Fit on a bounded sample of the labelled rows that aren't held out. Several
     labels of one document count as toxic if one does; null ids, null labels,
     null texts and other columns are ignored. Without rows of both classes the
