@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -67,3 +68,49 @@ def test_empty_tables(spark, docs_of, items):
     assert decontaminate.leaks(docs_of(["a b c"]), none).count() == 0
     assert decontaminate.leaks(docs_of([]), bench(spark, items)).count() == 0
     assert decontaminate.keep_unleaked(docs_of(["a"]), none).count() == 1
+
+
+def equal_words(text, item):
+    """Whether some run of 12 words or more (a shorter item whole) on some diagonal has three quarters equal, by counting every run."""
+    a, b = decontaminate.WORD.findall(text.lower()), decontaminate.WORD.findall(item.lower())
+    least = min(12, len(b))
+    for d in range(-len(b) + 1, len(a)):
+        same = [a[d + i] == b[i] for i in range(max(0, -d), min(len(b), len(a) - d))]
+        if any(4 * sum(same[i:j]) >= 3 * (j - i) for i in range(len(same)) for j in range(i + least, len(same) + 1)):
+            return True
+    return False
+
+
+def test_substitutions_anywhere_in_an_overlap_are_found(spark, docs_of, prose):
+    rng = random.Random(8)
+    lengths = [5, 6, 7, 8, 9, 10, 11, 12, 12, 13, 14, 15, 18, 22]
+    items = [prose(n, 7000 + i) for i, n in enumerate(lengths)]
+    texts, whole = [], []
+    for k, item in enumerate(items):
+        n = len(item.split())
+        for differ in range(n // 4 + 2):
+            for _ in range(4):
+                w = item.split()
+                for i in rng.sample(range(n), differ):
+                    w[i] = "other"
+                whole.append((len(texts), k, differ <= n // 4))
+                texts.append(f"{prose(rng.randrange(6), len(texts))} {' '.join(w)} {prose(rng.randrange(6), 99 + len(texts))}")
+    for at in (0, 11):  # a part of 12 words, its first or last word changed
+        w = items[-1].split()[5:17]
+        w[at] = "other"
+        texts.append(f"{prose(20, 5)} {' '.join(w)} {prose(20, 6)}")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(docs_of(texts), bench(spark, items)).collect()}
+    assert set(got) == {(d, k) for d, t in enumerate(texts) for k, item in enumerate(items) if equal_words(t, item)}
+    assert {(d, k) for d, k, found in whole if found} <= set(got)
+    assert all(4 * r["equal"] >= 3 * r["words"] and r["words"] >= min(12, lengths[k]) for (_, k), r in got.items())
+
+
+def test_no_seed_pattern_misses_a_run():
+    for n in range(12, 21):
+        hits = np.array([sum(1 << (o + i) for i, b in enumerate(m) if b == "1") for m in decontaminate.MASKS for o in range(n - len(m) + 1)])
+        for zeros in itertools.combinations(range(n), n // 4):
+            assert (hits & sum(1 << i for i in zeros) == 0).any()
+    for n in range(5, 12):
+        masks = decontaminate.whole_masks(n, 0.75)
+        for zeros in itertools.combinations(range(n), n // 4):
+            assert any(all(m[i] == "0" for i in zeros) for m in masks)
