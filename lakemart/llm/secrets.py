@@ -3,8 +3,8 @@
 The patterns give the base spans. Besides, every value that stands in a
 credential context (a key word, an assignment sign, a value) and is not part of
 a base span is priced: dynamic programming finds its cheapest segmentation into
-common words (plain, capitalised or with digit look-alikes), dates and years,
-repeats, keyboard walks and runs of the alphabet, and brute-force spans. A value
+common words (plain, capitalised or with digit look-alikes) and the blanks between
+them, dates and years, repeats, keyboard walks and runs of the alphabet, and brute-force spans. A value
 whose cheapest reading still takes 2^``min_bits`` guesses is a secret.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shared, fresh, per_text
+from .words import WORDS
 
 KINDS = ("assign", "access", "hex", "guess")
 #: The base patterns and their least lengths.
@@ -38,13 +39,13 @@ CONTEXT_KEYS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "cred
 MIN_BITS = 36.0
 MIN_LENGTH = 8
 
-#: Common password words, most frequent first.
-COMMON = (
+#: Common password words, most frequent first, then the words of prose.
+COMMON = [*(
     "password pass admin welcome login secret test guest root user changeme default qwerty letmein master monkey dragon "
     "football baseball shadow sunshine princess iloveyou hello love money summer winter spring autumn january february "
     "march april june july august september october november december monday friday sunday super star computer internet "
     "server access token key private public system service example sample demo temp my your the and for none null true "
-    "false value here name email phone home work company team manager office").split()
+    "false value here name email phone home work company team manager office").split(), *WORDS]
 #: The rows of a keyboard.
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = dict(zip('~!@#$%^&*()_+{}|:"<>?', "`1234567890-=[]\\;',./"))
@@ -102,6 +103,8 @@ class Pricer:
                 bits = self.word(s[i:j])
                 if bits is not None:
                     out.append(("word", i, j, bits))
+            if s[i] == " ":
+                out.append(("blank", i, i + 1, 1.0))
             m = DATE.match(s, i)
             if m:
                 out.append(("date", i, m.end(), math.log2(365 * 120) + (2 if m[1] or m[2] else 0)))
@@ -191,9 +194,6 @@ class Scanner:
                 value = text[start:end]
                 if len(value) < self.min_length or any(s < end and start < e for s, e in taken):
                     continue
-                kinds = {("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-") for c in value}
-                if len(kinds) < 2 or not kinds - {"a", "-"}:  # plain words of prose
-                    continue
                 bits, _ = self.pricer.cheapest(value)
                 if bits >= self.min_bits:
                     out.append((start, 3, end, bits))

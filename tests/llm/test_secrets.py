@@ -90,3 +90,17 @@ def test_mask_keeps_everything_else(docs_of):
         else:
             assert before == after
     assert secrets.report(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "pwd: xkqzjvwmtrbplhgd", "auth = 83920174655029381746", "access_key: QXWZKJVPLMRTGHBD", "private_key='qzx-wvk_jhp.mtr-bnl'",
+    'passphrase: "correct horse battery staple"'])
+def test_values_of_one_character_class_are_priced(text):
+    found = secrets.Scanner((secrets.COMMON, 36.0, 8)).scan(text)
+    assert [s["kind"] for s in found] == ["guess"]
+    assert text[found[0]["start"]:found[0]["end"]].strip("'\"") in text and found[0]["end"] >= len(text) - 1
+
+
+@pytest.mark.parametrize("text", ["the pwd: therefore we", "auth: authentication", 'credentials: "see the notes"', "pwd: 12345678", "auth: PASSWORD"])
+def test_prose_and_weak_values_of_one_class_stay_cheap(text):
+    assert secrets.Scanner((secrets.COMMON, 36.0, 8)).scan(text) == []
