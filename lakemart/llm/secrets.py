@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and guess costs of credential-context values.
 
 The patterns give the base spans. Besides, every value that stands in a
-credential context (a key word, an assignment sign, a value) and is not part of
-a base span is priced: dynamic programming finds its cheapest segmentation into
+credential context (a key word, an assignment sign, a value) and reaches beyond
+the base spans is priced as a whole: dynamic programming finds its cheapest segmentation into
 common words (plain, capitalised or with digit look-alikes) and the blanks between
 them, dates and years, repeats, keyboard walks and runs of the alphabet, and brute-force spans. A value
 whose cheapest reading still takes 2^``min_bits`` guesses is a secret.
@@ -192,7 +192,13 @@ class Scanner:
                 while g == 3 and end > start and text[end - 1] in ".)]}:!?":  # the sentence's, not the value's
                     end -= 1
                 value = text[start:end]
-                if len(value) < self.min_length or any(s < end and start < e for s, e in taken):
+                if len(value) < self.min_length:
+                    continue
+                at = start
+                for s, e in taken:  # how far the base spans cover the value
+                    if s <= at < e:
+                        at = e
+                if at >= end:
                     continue
                 bits, _ = self.pricer.cheapest(value)
                 if bits >= self.min_bits:
