@@ -20,6 +20,7 @@ its size doesn't grow with the corpus.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -134,13 +135,14 @@ def sigmoid(x):
 
 # ---- fitting --------------------------------------------------------------------
 
-def copy_groups(texts: list[str]) -> np.ndarray:
-    """A group number for each sample text; texts that share a pair of signature
-    coordinates over their shingles are one group. Copies of one text must not
-    count as so many documents that use its words."""
+def copy_groups(texts: list[str], alike: float = 0.7) -> np.ndarray:
+    """A group number for each sample text; texts that agree in ``alike`` of their
+    signature coordinates over their shingles are one group (bands find them).
+    Copies of one text must not count as so many documents that use its words;
+    texts that only share a passage stay apart."""
     from .neardup import Words, bands, dart_minhash, shingles
 
-    pairs = 16
+    count, rows = 16, 5
     up = np.arange(len(texts))
 
     def top(i: int) -> int:
@@ -149,15 +151,23 @@ def copy_groups(texts: list[str]) -> np.ndarray:
             i = up[i]
         return i
 
-    words, seen = Words(), {}
+    words, seen, signed = Words(), {}, np.zeros((len(texts), count * rows), dtype=np.uint64)
     for at in range(0, len(texts), 500):
         part = texts[at:at + 500]
         h, d = shingles(words, part, 3)
         some = np.bincount(d, minlength=len(part)) > 0
-        for i, keys_of in enumerate(bands(dart_minhash(h, d, len(part), 2 * pairs), pairs, 2).tolist()):
-            for k in keys_of if some[i] else ():
-                x, y = top(at + i), top(seen.setdefault(k, at + i))
-                up[max(x, y)] = min(x, y)
+        found = dart_minhash(h, d, len(part), count * rows)
+        signed[at:at + len(part)] = found
+        for i, keys_of in enumerate(bands(found, count, rows).tolist(), at):
+            for k in keys_of if some[i - at] else ():
+                held, joined = seen.setdefault(k, []), False
+                for j in held:
+                    x, y = top(i), top(j)
+                    if x != y and (signed[i] == signed[j]).mean() >= alike:
+                        up[max(x, y)] = x = y = min(x, y)
+                    joined |= x == y
+                if not joined:
+                    held.append(i)
     return np.array([top(i) for i in range(len(texts))], dtype=int)
 
 
@@ -165,8 +175,9 @@ def token_labels(tokens: list[list[str]], toxic: np.ndarray, groups: np.ndarray,
                  deviations: float = 5.0) -> list[np.ndarray]:
     """1 for the tokens of toxic documents whose word or stem marks toxicity: in
     more groups of toxic documents than its rate among clean ones explains, by
-    ``deviations`` standard deviations, and in 1.5 % of them (there are many
-    stems, so chance must be ruled out)."""
+    ``deviations`` standard deviations. There are many stems, so chance must be
+    ruled out: it must be in 1.5 % of the groups, or the chance that so many of
+    the groups that hold it are toxic must be under one in the number of stems."""
     from collections import Counter, defaultdict
 
     of: dict[tuple[int, int], set] = defaultdict(set)
@@ -183,21 +194,28 @@ def token_labels(tokens: list[list[str]], toxic: np.ndarray, groups: np.ndarray,
         return (c - n1 * rate > deviations * np.sqrt(n1 * rate * (1 - rate) + 1e-9)
                 and np.log((c + 0.5) / (n1 + 1)) - np.log((df[0][k] + 0.5) / (n0 + 1)) > odds)
 
+    def by_chance(k: str, c: int) -> float:
+        m, p = c + df[0][k], n1 / (n1 + n0)
+        return math.fsum(math.exp(math.lgamma(m + 1) - math.lgamma(i + 1) - math.lgamma(m - i + 1) + i * math.log(p) + (m - i) * math.log1p(-p))
+                         for i in range(c, m + 1))
+
     least = max(4, 0.015 * n1)
-    marks = {k for k, c in df[1].items() if c >= least and marks_it(k, c)}
+    marks = {k for k, c in df[1].items() if c >= 4 and marks_it(k, c) and (c >= least or by_chance(k, c) < 1 / len(df[1]))}
     return [np.array([bool(y) and any(k in marks for k in keys(w)) for w in words], dtype=bool)
             for words, y in zip(tokens, toxic)]
 
 
-def fit_crf(tokens: list[list[str]], labels: list[np.ndarray], steps: int = 80, clean_share: int = 3, seed: int = 7):
+def fit_crf(tokens: list[list[str]], labels: list[np.ndarray], steps: int = 80, clean_share: int = 3, seed: int = 7,
+            max_segments: int = 4000):
     """Gradient descent on the exact likelihood of fixed-length segments: every
-    segment with a toxic token, and ``clean_share`` times as many without."""
+    segment with a toxic token (a random ``max_segments`` of them, if there are
+    more: the driver's memory), and ``clean_share`` times as many without."""
     rng = np.random.default_rng(seed)
     hot, cold = [], []
     for words, y in zip(tokens, labels):
         for i in range(0, len(words), SEGMENT):
             (hot if y[i:i + SEGMENT].any() else cold).append((words[i:i + SEGMENT], y[i:i + SEGMENT]))
-    hot = [hot[i] for i in rng.permutation(len(hot))[:4000]]
+    hot = [hot[i] for i in rng.permutation(len(hot))[:max_segments]]
     keep = rng.permutation(len(cold))[:clean_share * max(len(hot), 50)]
     segments = hot + [cold[i] for i in keep]
     n = len(segments)
@@ -268,23 +286,33 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 50
     return w
 
 
-def fit_rows(texts: list[str], toxic: list[int]) -> Model:
+def fit_rows(texts: list[str], toxic: list[int], share: float | None = None, max_segments: int = 4000) -> Model:
+    """``share``: of toxic rows among all labelled ones (default: in the sample),
+    the score if no word tells the classes apart, neither by groups of copies nor
+    by single documents."""
     y = np.array(toxic, dtype=int)
-    share = float(y.mean()) if len(y) else 0.0
+    if share is None:
+        share = float(y.mean()) if len(y) else 0.0
     blank = Model(np.zeros(BUCKETS), 0.0, np.zeros((2, 2)), 0.0, np.zeros(4), share)
     if len(y) < 4 or y.min() == y.max():
         return blank
     tokens = [WORD.findall(t.lower()) for t in texts]
     groups = copy_groups(texts)
     labels = token_labels(tokens, y, groups)
+    if not any(l.any() for l in labels):  # too few groups: copies are all there is to learn from
+        groups = np.arange(len(y))
+        labels = token_labels(tokens, y, groups, odds=4.0)  # copies make their common words frequent
     half = np.zeros(len(y), dtype=bool)  # copies on one side
     for c in (0, 1):
         half |= (y == c) & np.isin(groups, np.unique(groups[y == c])[::2])
     if len(set(y[half])) < 2 or len(set(y[~half])) < 2:
-        half = np.arange(len(y)) % 2 == 0
+        half[:] = False
+        for c in (0, 1):
+            half[np.flatnonzero(y == c)[::2]] = True
     if not any(l.any() for l, h in zip(labels, half) if h):
         return blank
-    fitted = fit_crf([t for t, h in zip(tokens, half) if h], [l for l, h in zip(labels, half) if h])
+    fitted = fit_crf([t for t, h in zip(tokens, half) if h], [l for l, h in zip(labels, half) if h],
+                     max_segments=max_segments)
     model = Model(*fitted, np.zeros(4))
     scorer = Scorer(model)
     rest = [t for t, h in zip(tokens, half) if not h]
@@ -293,13 +321,17 @@ def fit_rows(texts: list[str], toxic: list[int]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2000, max_sample_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2000, max_sample_chars: int = 20_000,
+        max_segments: int = 4000) -> Model:
     """Fit on a bounded sample of the labelled rows that aren't held out. Several
     labels of one document count as toxic if one does; null ids, null labels,
-    null texts and other columns are ignored. Without rows of both classes the
-    score is a constant: the share of toxic rows (0 without rows)."""
+    null texts and other columns are ignored. Without rows of both classes, or
+    words that tell them apart, the score is a constant: the share of toxic rows
+    among all labelled ones, whatever the sample's (0 without rows). At most
+    ``max_segments`` segments with a toxic token train the CRF."""
     known = (labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).na.drop()
              .where(~held_out("id")).groupBy("id").agg(F.max("toxic").alias("toxic")))
+    labelled = known.agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
     # TakeOrdered: at most rows_per_class rows of each class, whatever the corpus
     picked = None
     for c in (0, 1):
@@ -312,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2000, max_samp
     ids = F.broadcast(spark.createDataFrame([(int(r["id"]), int(r["toxic"])) for r in rows], "id long, toxic int"))
     sample = (docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
               .where(F.length("text") <= max_sample_chars).join(ids, "id").dropDuplicates(["id"]).orderBy("id").collect())
-    return fit_rows([r["text"] for r in sample], [r["toxic"] for r in sample])
+    return fit_rows([r["text"] for r in sample], [r["toxic"] for r in sample], labelled["toxic"] / labelled["n"], max_segments)
 
 
 # ---- scoring ----------------------------------------------------------------------

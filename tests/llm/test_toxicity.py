@@ -83,3 +83,41 @@ def test_without_labels_empty_table_and_clashing_columns(spark, docs_of):
     named = docs.withColumnRenamed("source", "_toxicity").withColumnRenamed("lang", "score")
     kept = toxicity.keep_clean(named, none)
     assert kept.columns == named.columns and kept.count() == 2
+
+
+def test_copies_are_joined_only_at_high_similarity(prose):
+    one = prose(90, 1).split()
+    near = one[:40] + ["other"] + one[41:]
+    shared = [" ".join(one[:45] + prose(45, 10 + i).split()) for i in range(8)]  # 3-shingle Jaccard about 0.3
+    groups = toxicity.copy_groups([" ".join(one), " ".join(near), *shared])
+    assert groups[0] == groups[1] and len(set(groups[1:])) == 1 + len(shared)
+
+
+def test_copies_of_few_toxic_texts_do_not_make_everything_toxic(prose):
+    bad = [prose(30, 1) + " zorgly blexor", prose(40, 2) + " quixtra zorgly"]
+    clean = [prose(50, 100 + i) for i in range(400)]
+    model = toxicity.fit_rows(clean + bad * 20, [0] * 400 + [1] * 40, 0.02)
+    scores = toxicity.Scorer(model).score([prose(50, 3000 + i) for i in range(100)] + bad)[0]
+    assert (scores[:100] < toxicity.THRESHOLD).mean() >= 0.98 and (scores[100:] >= toxicity.THRESHOLD).all()
+
+
+def test_the_constant_is_the_share_of_all_labels(spark, docs_of, prose):
+    texts = [prose(20, i) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 30 == 0)) for i in range(120)], "doc_id long, toxic int")
+    used = [i for i in range(120) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = toxicity.fit(docs_of(texts), labels, rows_per_class=4)
+    assert model.constant == pytest.approx(sum(i % 30 == 0 for i in used) / len(used)) and 0 < model.constant < toxicity.THRESHOLD
+
+
+def test_rarer_words_are_labelled_when_chance_is_ruled_out():
+    n = 1600
+    tokens = [[f"w{i % 50}", "zorgly"] if i < 20 else [f"w{i % 50}"] for i in range(n)] + [[f"w{i % 50}"] for i in range(n)]
+    toxic = np.array([1] * n + [0] * n)
+    labels = toxicity.token_labels(tokens, toxic, np.arange(2 * n))  # in 1.25 % of the toxic documents
+    assert all(list(l) == [False, True] for l in labels[:20]) and not any(l.any() for l in labels[20:])
+
+
+def test_the_segment_bound_is_a_parameter(labelled):
+    texts, toxic = labelled
+    few, all_ = (toxicity.fit_rows(texts, toxic, max_segments=m) for m in (5, 4000))
+    assert not np.array_equal(few.weights, all_.weights)
