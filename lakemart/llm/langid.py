@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, held_out, per_text
@@ -129,6 +129,14 @@ def fit_vectors(x: np.ndarray, langs: list[str], steps: int = 150) -> Model:
     return Model(names, bits, w, b, trust)
 
 
+def thinned(hashed: Column, n: int, rows: int) -> Column:
+    """Whether a 64-bit hash is among the least, so that about ``rows`` of ``n``
+    rows are, however large ``n`` is; all rows where ``n`` is no larger."""
+    if n <= rows:
+        return F.lit(True)
+    return hashed < F.lit(rows * 2**64 // n - 2**63).cast("long")
+
+
 def fit(docs: DataFrame, rows_per_lang: int = 800, max_sample_chars: int = 20_000) -> Model:
     """Fit on text and lang of rows that aren't held out. Null langs, null texts
     and texts without letters are not learned from; without rows every text is
@@ -142,8 +150,7 @@ def fit(docs: DataFrame, rows_per_lang: int = 800, max_sample_chars: int = 20_00
         return fit_vectors(np.zeros((0, BUCKETS), np.float32), [])
     keep = F.lit(False)
     for lang, n in counts.items():
-        share = min(1.0, 2.0 * rows_per_lang / n)
-        keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)))
+        keep = keep | ((F.col("lang") == lang) & thinned(F.xxhash64("id", "text"), n, 2 * rows_per_lang))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id")
     thin = known.where(keep).withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_lang)
     shared = Shared(docs.sparkSession, None)

@@ -6,6 +6,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from lakemart.llm import langid
 from llm_util import ODD
 
@@ -60,3 +62,23 @@ def test_no_rows_or_one_language(docs_of):
     assert [r["lang_pred"] for r in langid.predictions(docs_of(["abc", None], langs=[None, "xx"])).collect()] == ["und", "und"]
     rows = langid.predictions(docs_of(["abc def", "qqq", "1"], langs=["xx", "xx", None])).collect()
     assert {r["doc_id"]: r["lang_pred"] for r in rows} == {0: "xx", 1: "xx", 2: "und"}
+
+
+@pytest.mark.parametrize("n, rows", [(1_000, 1_600), (20_000, 1_600), (10**11, 1_600), (10**15, 1_600)])
+def test_thinning_keeps_the_expected_rows_at_any_count(spark, n, rows):
+    hashes = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    # the hash's range is shrunk, as if it came from n rows: h // scale of a scale-th part of the least hashes
+    scale = max(1, n // 200_000)
+    near = F.expr(f"cast(floor((cast(h as decimal(38,0)) + 9223372036854775808) / {scale}) - 9223372036854775808 as bigint)")
+    got = hashes.where(langid.thinned(near, n, rows)).count()
+    want = min(200_000, 200_000 * scale * min(1, rows / n))
+    assert abs(got - want) <= 6 * want**0.5
+
+
+def test_a_language_of_billions_of_rows_stays_in_the_model(docs_of, monkeypatch):
+    rows = {"many": 40, "few": 40}
+    docs = docs_of([f"{'zu ze zi' if i % 2 else 'ka ko ku'} {i}" for i in range(80)], langs=["many" if i % 2 else "few" for i in range(80)])
+    asked = []
+    real = langid.thinned
+    monkeypatch.setattr(langid, "thinned", lambda h, n, r: asked.append((n, r)) or real(h, n, r))
+    assert sorted(langid.fit(docs).languages) == sorted(rows) and all(r == 1_600 for _, r in asked)
