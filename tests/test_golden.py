@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 
 GOLDEN = {
     SF_SMALL: dict(rows=1084, total=Decimal("301270840.1572"), alert=139, q3=139, qoq=7.54, active=4, active_latest=118),

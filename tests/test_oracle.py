@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 from oracle_util import duck, duck_canon, duck_types, spark_canon, spark_types
 
 from lakemart.plans import registry

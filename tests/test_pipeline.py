@@ -15,7 +15,7 @@ from lakemart.plans.layers import LazyLayers, TableLayers
 from lakemart.sources.fixtures import fixture_source
 from lakemart.sources.tables import ParquetSource
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_full_pipeline_matches_lazy_plan(spark):

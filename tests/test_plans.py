@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lakemart.plans.registry import REGISTRY, Env
 
 

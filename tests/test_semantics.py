@@ -154,7 +154,7 @@ def test_partial_week_not_compared(spark):
 
 def test_planted_drop_flagged_by_every_variant(spark):
     """Pick a complete week from the data, bring it to 50 % of the week before."""
-    from conftest import SF_MID
+    from paths import SF_MID
     from lakemart.plans.registry import Env
     from lakemart.operators.periods import period_days
 
@@ -183,7 +183,7 @@ def test_empty_gold_rules(spark):
 
 
 def test_fused_report_equals_individual_rules(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from lakemart.plans.registry import Env
 
     e = Env(spark, SF_SMALL)
@@ -194,7 +194,7 @@ def test_fused_report_equals_individual_rules(spark):
 
 
 def test_silver_quarantine_disjoint_and_complete(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from lakemart.plans.registry import Env
 
     e = Env(spark, SF_SMALL)

@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_util import duck, duck_canon, spark_canon
 
 KEYS = [
