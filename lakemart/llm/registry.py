@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, secrets, sharding, toxicity, urls, vectors
+from . import bpe, decontaminate, divergence, langid, licenses, neardup, packing, ranking, secrets, sharding, toxicity, urls, vectors
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -60,6 +60,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -71,6 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_licenses": op9_licenses,
     "op10_url_filter": op10_url_filter,
+    "op11_bpe": op11_bpe,
+    "op12_divergence": op12_divergence,
+    "op13_search": op13_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_divergence": divergence.ORACLE_SQL,
+    "op13_search": ranking.ORACLE_SQL,
+}
