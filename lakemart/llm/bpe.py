@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,7 +196,7 @@ class Rules:
 class Encoder:
     """Encodes and decodes texts in one worker."""
 
-    def __init__(self, rules: Rules, room: int = 400_000):
+    def __init__(self, rules: Rules, room: int = 250_000):
         from tokenizers import Tokenizer
 
         self.rules, self.room = rules, room
@@ -273,13 +274,13 @@ class Encoder:
             if not good:
                 symbols, merges = self.rules.symbols(w), self.rules.merges
                 ids = merge_short(symbols, merges) if len(w) <= SHORT else [n[0] for n in merge_exactly(symbols, merges)]
-            self.words[w] = np.array(ids, dtype="<i4").tobytes()
+            self.words[w] = array("i", ids).tobytes()
 
     def ids(self, parts: list) -> bytes:
-        return b"".join([self.words[p] if isinstance(p, str) else np.array([p], dtype="<i4").tobytes() for p in parts])
+        return b"".join([self.words[p] if isinstance(p, str) else array("i", [p]).tobytes() for p in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian int32; null counts as empty."""
+        """The ids of each text as int32; null counts as empty."""
         if len(self.words) > self.room:
             self.words.clear()
         if len(self.chunks) > self.room:
@@ -302,16 +303,19 @@ class Encoder:
         return " ".join(tokens) if self.decoder is None else self.decoder.decode(tokens)
 
 
-IDS = "array<int>"
-IDS_ARROW = pa.list_(pa.int32())
+BOTH = "struct<ids:array<int>,decoded:string>"
+BOTH_ARROW = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 #: Characters that a worker encodes at a time.
 SLICE = 2_000_000
 
 
 def _encode(encoder: Encoder, texts: list[str | None]) -> pa.Array:
+    """Ids and, from these, the decoded text, in the same worker."""
     found = encoder.encode(texts)
     ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype="<i4"), pa.int32()))
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32), pa.int32()))
+    decoded = pa.array([encoder.decode(array("i", x).tolist()) for x in found], pa.string())
+    return pa.StructArray.from_arrays([ids, decoded], fields=list(BOTH_ARROW))
 
 
 def shared_rules(docs: DataFrame, tokenizer_path: str) -> Shared:
@@ -319,13 +323,8 @@ def shared_rules(docs: DataFrame, tokenizer_path: str) -> Shared:
         return Shared(docs.sparkSession, Rules(f.read()), Encoder)
 
 
-def encoded(text: Column, shared: Shared) -> Column:
-    """The ids of a text column."""
-    return per_text(shared, _encode, IDS, IDS_ARROW, SLICE)(text)
-
-
-def decoded(ids: Column, shared: Shared) -> Column:
-    """The text of a column of ids; null ids count as none."""
+def decode(ids: Column, shared: Shared) -> Column:
+    """The text of a column of ids (for ids that come from elsewhere); null counts as none."""
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = shared.get()
         for column in columns:
@@ -346,11 +345,10 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     of documents and extra columns pass through; an empty table stays empty.
     Memory per worker: one slice of the Arrow batch and the two stores."""
     shared = shared_rules(docs, tokenizer_path)
-    text = fresh("_text", docs.columns)
+    both = fresh("_both", docs.columns)
     keep = [f"`{c}`" for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    with_text = docs.select(*keep, F.col("text").cast("string").alias(text))
-    with_ids = with_text.select(*keep, encoded(F.col(text), shared).alias("ids"))
-    return with_ids.select("*", decoded(F.col("ids"), shared).alias("decoded"))
+    found = per_text(shared, _encode, BOTH, BOTH_ARROW, SLICE)(F.col("text").cast("string")).alias(both)
+    return docs.select(*keep, found).select(*keep, f"{both}.ids", f"{both}.decoded")
 
 
 def digest(docs: DataFrame, tokenizer_path: str) -> DataFrame:

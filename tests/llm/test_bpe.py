@@ -82,6 +82,14 @@ def test_query_equals_the_library(spark, docs_of, prose):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_decoding_a_column_of_ids(spark):
+    library, _ = both(FILES[1])
+    ids = library.encode("Some ids, naïve ones\n").ids
+    df = spark.createDataFrame([(1, ids), (2, None), (3, [])], "k int, ids array<int>").repartition(1)
+    out = df.select("k", bpe.decode(df["ids"], bpe.shared_rules(df, tokenizer_path(FILES[1]))).alias("text"))
+    assert {r["k"]: r["text"] for r in out.collect()} == {1: "Some ids, naïve ones\n", 2: "", 3: ""}
+
+
 def test_columns_pass_through(spark, docs_of):
     assert bpe.digest(docs_of([]), tokenizer_path()).count() == 0
     odd = spark.createDataFrame([(None, "a b", 7, "x"), (None, "a b", 7, "x"), (3, None, None, None)], "doc_id long, text string, ids int, _text string")
