@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -33,13 +34,18 @@ from pyspark.sql import functions as F
 from .common import Shared, fresh, per_text
 
 #: A rank above all merges.
-NEVER = np.int32(2**31 - 1)
-#: Words of up to so many symbols are merged by looking at all their pairs.
+NEVER = 2**31 - 1
+#: Longer words are merged with a heap.
 SHORT = 32
 #: Characters that Python's split() takes for white space and the tokenizers don't.
 ODD = re.compile("[\x1c-\x1f]")
 
 
+#: Below it stand the basic, Latin-1 and first extended Latin characters: normal forms whose lower case is
+#: one character there, but for DOTTED.
+END_OF_LATIN, DOTTED = "\u0180", "\u0130"
+
+
 def byte_alphabet() -> dict[int, str]:
     """The printable character that stands for each byte: itself where Latin-1
     has a visible one, else the next free character from U+0100 on."""
@@ -48,52 +54,77 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
-def merge_exactly(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[tuple]:
-    """What the merges make of the symbols, as (id, left, right) nodes; a base
-    symbol has no children. ``merges``: pair of ids -> (rank, id of the result)."""
-    nodes: list = [(s, None, None) for s in symbols]
-    after = [*range(1, len(nodes)), -1]
-    before = list(range(-1, len(nodes) - 1))
-    heap = []
-
-    def offer(i: int) -> None:
-        j = after[i]
-        if j >= 0:
-            rule = merges.get((nodes[i][0], nodes[j][0]))
-            if rule:
-                heapq.heappush(heap, (rule[0], i))
-
-    for i in range(len(nodes)):
-        offer(i)
-    while heap:
-        rank, i = heapq.heappop(heap)
-        j = after[i] if nodes[i] else -1
-        rule = merges.get((nodes[i][0], nodes[j][0])) if j >= 0 else None
-        if rule is None or rule[0] != rank:  # a neighbour has changed since
-            continue
-        nodes[i], nodes[j] = (rule[1], nodes[i], nodes[j]), None
-        after[i] = after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
-    return [n for n in nodes if n]
-
-
-def merge_short(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """``merge_exactly`` by looking at all pairs before each merge (faster for
-    the few symbols of a common word); the ids only."""
-    get = merges.get
-    while True:
-        best, at = (NEVER, 0), -1
-        for i, pair in enumerate(zip(ids, ids[1:])):
-            rule = get(pair)
-            if rule is not None and rule < best:  # the first of equals stays
-                best, at = rule, i
-        if at < 0:
-            return ids
-        ids[at:at + 2] = [best[1]]
+def latin_words() -> re.Pattern:
+    """The words of printable, lower-cased text below END_OF_LATIN, for the
+    vocabularies that are split by white space first."""
+    kind = lambda k: "".join(re.escape(chr(c)) for c in range(ord(END_OF_LATIN)) if unicodedata.category(chr(c))[0] == k)
+    letters, numbers = kind("L"), kind("N")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
+
+
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+LATIN_WORDS = latin_words()
+#: From bytes read as Latin-1 to the byte alphabet.
+ALPHABET = byte_alphabet()
+
+
+class Merges:
+    """The merges by rank: ``ranks`` of token pairs (left * size + right) and
+    what each rank makes."""
+
+    def __init__(self, size: int, rules: list[tuple[int, int, int]]):
+        self.size = size
+        self.ranks = {a * size + b: rank for rank, (a, b, _) in enumerate(rules)}
+        self.made = [m for _, _, m in rules]
+
+    def ids(self, symbols: list[int]) -> list[int]:
+        """What the merges make of the symbols: the lowest rank first, the
+        leftmost of equals (all pairs' ranks side by side; for short words)."""
+        size, get, made = self.size, self.ranks.get, self.made
+        ids = list(symbols)
+        ranks = [get(a * size + b, NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == NEVER:
+                break
+            i = ranks.index(rank)
+            ids[i:i + 2] = [made[rank]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] * size + ids[i], NEVER)
+            if i < len(ranks):
+                ranks[i] = get(ids[i] * size + ids[i + 1], NEVER)
+        return ids
+
+    def nodes(self, symbols: list[int]) -> list[tuple]:
+        """``ids`` by a heap (long words), as (id, left node, right node); a base
+        symbol has no children."""
+        nodes: list = [(s, None, None) for s in symbols]
+        after = [*range(1, len(nodes)), -1]
+        before = list(range(-1, len(nodes) - 1))
+        heap: list[tuple[int, int]] = []
+
+        def offer(i: int) -> None:
+            if after[i] >= 0:
+                rank = self.ranks.get(nodes[i][0] * self.size + nodes[after[i]][0])
+                if rank is not None:
+                    heapq.heappush(heap, (rank, i))
+
+        for i in range(len(nodes)):
+            offer(i)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = after[i] if nodes[i] else -1
+            if j < 0 or self.ranks.get(nodes[i][0] * self.size + nodes[j][0]) != rank:  # a neighbour has changed since
+                continue
+            nodes[i], nodes[j] = (self.made[rank], nodes[i], nodes[j]), None
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [n for n in nodes if n]
 
 
 class Rules:
@@ -115,12 +146,10 @@ class Rules:
         self.strings: list[str | None] = [None] * size
         for word, i in {**vocab, **self.added}.items():
             self.strings[i] = word
-        self.merges = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[left], vocab[right]] = (rank, vocab[left + right])
-        self.base = {c: vocab[c] for c in byte_alphabet().values()}
-        self.last = {c: vocab[c + self.suffix] for c in byte_alphabet().values()}
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        self.merges = Merges(size, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
+        self.base = {c: vocab[c] for c in ALPHABET.values()}
+        self.last = {c: vocab[c + self.suffix] for c in ALPHABET.values()}
         # a token may be proposed only if the merges make it of its own symbols
         nodes = {}
         self.inner: dict[str, int] = {}
@@ -130,15 +159,15 @@ class Rules:
             shown = word[:len(word) - len(self.suffix)] if ends else word
             if not shown or any(c not in self.base for c in shown):
                 continue
-            made = merge_exactly(self.symbols(shown) if ends or not self.suffix else [self.base[c] for c in shown], self.merges)
+            made = self.merges.nodes(self.symbols(shown) if ends or not self.suffix else [self.base[c] for c in shown])
             if len(made) == 1 and made[0][0] == i:
                 nodes[i] = made[0]
                 (self.final if ends else self.inner)[shown] = i
         if not self.suffix:
             self.final = self.inner
         self.spines(size, nodes)
-        keys = np.array([a * size + b for a, b in self.merges], dtype=np.int64)
-        ranks = np.array([r for r, _ in self.merges.values()], dtype=np.int32)
+        keys = np.fromiter(self.merges.ranks, dtype=np.int64)
+        ranks = np.fromiter(self.merges.ranks.values(), dtype=np.int32)
         order = np.argsort(keys)
         self.size, self.pair_keys, self.pair_ranks = size, keys[order], ranks[order]
 
@@ -155,7 +184,7 @@ class Rules:
                 while node is not None:
                     line.append((node[0], taken))
                     if node[1] is not None:
-                        taken = self.merges[node[1][0], node[2][0]][0]
+                        taken = self.merges.ranks[node[1][0] * size + node[2][0]]
                     node = node[side]
                 lines[i] = line
             width = max(map(len, lines.values()), default=1)
@@ -193,13 +222,38 @@ class Rules:
         return good
 
 
+class Store:
+    """What a worker has learned, in two generations of bounded size: when the
+    younger is full it becomes the elder, and what nobody asks for until the next
+    change is forgotten with that."""
+
+    def __init__(self, room: int):
+        self.room, self.now, self.elder = room, {}, {}
+
+    def missing(self, keys) -> list[str]:
+        """The keys not known; the others are in ``now`` afterwards."""
+        out = []
+        for k in keys:
+            if k not in self.now:
+                v = self.elder.get(k)
+                if v is None:
+                    out.append(k)
+                else:
+                    self.now[k] = v
+        return out
+
+    def age(self) -> None:
+        if len(self.now) > self.room:
+            self.now, self.elder = {}, self.now
+
+
 class Encoder:
     """Encodes and decodes texts in one worker."""
 
-    def __init__(self, rules: Rules, room: int = 250_000):
+    def __init__(self, rules: Rules, room: int = 200_000):
         from tokenizers import Tokenizer
 
-        self.rules, self.room = rules, room
+        self.rules = rules
         tokenizer = Tokenizer.from_str(rules.spec)
         self.normalizer, self.splitter, self.decoder = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.decoder
         self.special = re.compile("|".join(re.escape(s) for s in sorted(rules.added, key=len, reverse=True)) or r"(?!)")
@@ -207,8 +261,7 @@ class Encoder:
         for s in rules.inner:
             self.longest[s[0]] = max(len(s), self.longest.get(s[0], 0))
         self.longest_final = max(map(len, rules.final), default=0)
-        self.words: dict[str, bytes] = {}  # ids of words of the byte alphabet
-        self.chunks: dict[str, bytes] = {}  # ids of white-space words
+        self.words, self.chunks = Store(room), Store(room)  # ids of words of the byte alphabet, of white-space words
         # Where the splitter never looks across white space, texts are handled by white-space word.
         form = json.loads(rules.spec)
         split = (form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -219,12 +272,16 @@ class Encoder:
     #: The normaliser and the words of the vocabularies that are split by white space first.
     NORMAL = ["NFC", "Replace", "Lowercase"]
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
     def split(self, text: str) -> list[str]:
         """The words of a text without special tokens, in the byte alphabet."""
-        if self.by_chunk and text.isascii() and text.isprintable():
-            return self.ASCII_WORDS.findall(text.lower())
+        if self.by_chunk and text.isprintable():
+            if not text:
+                return []
+            if text.isascii():
+                return ASCII_WORDS.findall(text.lower())
+            if max(text) < END_OF_LATIN and DOTTED not in text:
+                return [w if w.isascii() else w.encode().decode("latin-1").translate(ALPHABET) for w in LATIN_WORDS.findall(text.lower())]
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
         return [w for w, _ in self.splitter.pre_tokenize_str(text)] if text else []
@@ -267,33 +324,30 @@ class Encoder:
         return good
 
     def learn(self, words) -> None:
-        """Ids of new words: proposed, verified together, merged exactly where that fails."""
-        words = [w for w in dict.fromkeys(words) if w not in self.words]
-        proposals = [self.propose(w) for w in words]
-        for w, ids, good in zip(words, proposals, self.verify(proposals).tolist() if words else ()):
+        """Ids of words: new ones are proposed, verified together, merged exactly where that fails."""
+        new = self.words.missing(words)
+        proposals = [self.propose(w) for w in new]
+        for w, ids, good in zip(new, proposals, self.verify(proposals).tolist() if new else ()):
             if not good:
                 symbols, merges = self.rules.symbols(w), self.rules.merges
-                ids = merge_short(symbols, merges) if len(w) <= SHORT else [n[0] for n in merge_exactly(symbols, merges)]
-            self.words[w] = array("i", ids).tobytes()
+                ids = merges.ids(symbols) if len(w) <= SHORT else [n[0] for n in merges.nodes(symbols)]
+            self.words.now[w] = array("i", ids).tobytes()
 
     def ids(self, parts: list) -> bytes:
-        return b"".join([self.words[p] if isinstance(p, str) else array("i", [p]).tobytes() for p in parts])
+        return b"".join([self.words.now[p] if isinstance(p, str) else array("i", [p]).tobytes() for p in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as int32; null counts as empty."""
-        if len(self.words) > self.room:
-            self.words.clear()
-        if len(self.chunks) > self.room:
-            self.chunks.clear()
+        self.words.age()
+        self.chunks.age()
         whole = [t is not None and (not self.by_chunk or ODD.search(t) is not None) for t in texts]
         cut = [[] if t is None else [t] if w else t.split() for t, w in zip(texts, whole)]
-        new = set().union(*[c for c, w in zip(cut, whole) if not w]).difference(self.chunks)
-        parts = {c: self.parts(c) for c in new}
+        parts = {c: self.parts(c) for c in self.chunks.missing(set().union(*[c for c, w in zip(cut, whole) if not w]))}
         alone = {i: self.parts(c[0]) for i, (c, w) in enumerate(zip(cut, whole)) if w}
-        self.learn(p for found in (*parts.values(), *alone.values()) for p in found if isinstance(p, str))
+        self.learn({p for found in (*parts.values(), *alone.values()) for p in found if isinstance(p, str)})
+        known = self.chunks.now
         for c, found in parts.items():
-            self.chunks[c] = self.ids(found)
-        known = self.chunks
+            known[c] = self.ids(found)
         return [self.ids(alone[i]) if w else b"".join([known[x] for x in c]) for i, (c, w) in enumerate(zip(cut, whole))]
 
     def decode(self, ids: list[int]) -> str:
