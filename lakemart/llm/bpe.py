@@ -12,12 +12,14 @@ Only words with a failing pair are merged exactly (lowest rank first, leftmost
 of equals).
 
 Normalising and splitting into words is the vocabulary's own; ids are kept per
-white-space word in a store that is emptied when full. Nothing is shuffled: a
+word in a store of bounded size. Nothing is shuffled: a
 lost executor's tasks read and encode their rows again.
 """
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import heapq
 import json
 import re
@@ -37,13 +39,12 @@ from .common import Shared, fresh, per_text
 NEVER = 2**31 - 1
 #: Longer words are merged with a heap.
 SHORT = 32
-#: Characters that Python's split() takes for white space and the tokenizers don't.
-ODD = re.compile("[\x1c-\x1f]")
-
-
-#: Below it stand the basic, Latin-1 and first extended Latin characters: normal forms whose lower case is
-#: one character there, but for DOTTED.
-END_OF_LATIN, DOTTED = "\u0180", "\u0130"
+#: Below END_OF_LATIN stand the basic, Latin-1 and first extended Latin characters: all normal forms whose
+#: lower case is one character there, but for the dotted I.
+END_OF_LATIN = "\u0180"
+#: Characters that Python takes for white space and the tokenizers don't; with them, all that is not plain Latin.
+SPACES = re.compile("[\x1c-\x1f]")
+ODD = re.compile(f"[\x1c-\x1f\u0130{END_OF_LATIN}-\U0010ffff]")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -55,14 +56,13 @@ def byte_alphabet() -> dict[int, str]:
 
 
 def latin_words() -> re.Pattern:
-    """The words of printable, lower-cased text below END_OF_LATIN, for the
-    vocabularies that are split by white space first."""
+    """The words of lower-cased text below END_OF_LATIN, for the vocabularies
+    that are split by white space first."""
     kind = lambda k: "".join(re.escape(chr(c)) for c in range(ord(END_OF_LATIN)) if unicodedata.category(chr(c))[0] == k)
     letters, numbers = kind("L"), kind("N")
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
 
 
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 LATIN_WORDS = latin_words()
 #: From bytes read as Latin-1 to the byte alphabet.
 ALPHABET = byte_alphabet()
@@ -250,10 +250,11 @@ class Store:
 class Encoder:
     """Encodes and decodes texts in one worker."""
 
-    def __init__(self, rules: Rules, room: int = 200_000):
+    def __init__(self, rules: Rules, room: int = 250_000):
         from tokenizers import Tokenizer
 
         self.rules = rules
+        form = json.loads(rules.spec)
         tokenizer = Tokenizer.from_str(rules.spec)
         self.normalizer, self.splitter, self.decoder = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.decoder
         self.special = re.compile("|".join(re.escape(s) for s in sorted(rules.added, key=len, reverse=True)) or r"(?!)")
@@ -261,37 +262,42 @@ class Encoder:
         for s in rules.inner:
             self.longest[s[0]] = max(len(s), self.longest.get(s[0], 0))
         self.longest_final = max(map(len, rules.final), default=0)
-        self.words, self.chunks = Store(room), Store(room)  # ids of words of the byte alphabet, of white-space words
-        # Where the splitter never looks across white space, texts are handled by white-space word.
-        form = json.loads(rules.spec)
+        self.words = Store(room)
+        # Where the vocabulary's own steps are these, words of Latin text are found without its help.
         split = (form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         kinds = [x.get("type") for x in (form.get("normalizer") or {}).get("normalizers", [])]
-        self.by_chunk = (kinds == self.NORMAL and split[0].get("pattern") == {"Regex": self.PATTERN} and split[0].get("invert")
-                         and [x.get("type") for x in split] == ["Split", "ByteLevel"] and not split[1]["add_prefix_space"])
+        self.latin = (kinds == self.NORMAL and split[0].get("pattern") == {"Regex": self.PATTERN} and split[0].get("invert")
+                      and [x.get("type") for x in split] == ["Split", "ByteLevel"] and not split[1]["add_prefix_space"])
 
     #: The normaliser and the words of the vocabularies that are split by white space first.
     NORMAL = ["NFC", "Replace", "Lowercase"]
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+    # A word's key is the word itself, in lower case, where it is found by LATIN_WORDS; else the word in
+    # the byte alphabet behind SPLIT. A special token's is its string behind TOKEN.
+    SPLIT, TOKEN = "\n", "\r"
+
     def split(self, text: str) -> list[str]:
-        """The words of a text without special tokens, in the byte alphabet."""
-        if self.by_chunk and text.isprintable():
-            if not text:
-                return []
-            if text.isascii():
-                return ASCII_WORDS.findall(text.lower())
-            if max(text) < END_OF_LATIN and DOTTED not in text:
-                return [w if w.isascii() else w.encode().decode("latin-1").translate(ALPHABET) for w in LATIN_WORDS.findall(text.lower())]
+        """The keys of a text without special tokens."""
+        if self.latin:
+            odd = ODD.search(text)
+            if odd is None:
+                return LATIN_WORDS.findall(text.lower())
+            if not SPACES.search(text):  # white space parts words whatever they are
+                chunks = text.split()
+                if len(chunks) > 1:
+                    return [k for c in chunks for k in self.split(c)]
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
-        return [w for w, _ in self.splitter.pre_tokenize_str(text)] if text else []
+        return [self.SPLIT + w for w, _ in self.splitter.pre_tokenize_str(text)] if text else []
 
-    def parts(self, text: str) -> list:
-        """Words of the byte alphabet, and ids of special tokens."""
+    def parts(self, text: str) -> list[str]:
+        """The keys of a text."""
+        if not any(s in text for s in self.rules.added):
+            return self.split(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += self.split(text[at:m.start()])
-            out.append(self.rules.added[m[0]])
+            out += [*self.split(text[at:m.start()]), self.TOKEN + m[0]]
             at = m.end()
         return out + self.split(text[at:])
 
@@ -323,32 +329,40 @@ class Encoder:
         good[of[inside[bad]]] = False
         return good
 
-    def learn(self, words) -> None:
-        """Ids of words: new ones are proposed, verified together, merged exactly where that fails."""
-        new = self.words.missing(words)
-        proposals = [self.propose(w) for w in new]
-        for w, ids, good in zip(new, proposals, self.verify(proposals).tolist() if new else ()):
+    def learn(self, keys: list[str]) -> None:
+        """Ids of new words: proposed, verified together, merged exactly where that fails."""
+        words = []
+        for k in keys:
+            if k[0] == self.TOKEN:
+                self.words.now[k] = array("i", [self.rules.added[k[1:]]]).tobytes()
+            else:
+                words.append(k)
+        shown = [w[1:] if w[0] == self.SPLIT else w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(ALPHABET)
+                 for w in words]
+        proposals = [self.propose(w) for w in shown]
+        for k, w, ids, good in zip(words, shown, proposals, self.verify(proposals).tolist() if words else ()):
             if not good:
                 symbols, merges = self.rules.symbols(w), self.rules.merges
                 ids = merges.ids(symbols) if len(w) <= SHORT else [n[0] for n in merges.nodes(symbols)]
-            self.words.now[w] = array("i", ids).tobytes()
-
-    def ids(self, parts: list) -> bytes:
-        return b"".join([self.words.now[p] if isinstance(p, str) else array("i", [p]).tobytes() for p in parts])
+            self.words.now[k] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as int32; null counts as empty."""
         self.words.age()
-        self.chunks.age()
-        whole = [t is not None and (not self.by_chunk or ODD.search(t) is not None) for t in texts]
-        cut = [[] if t is None else [t] if w else t.split() for t, w in zip(texts, whole)]
-        parts = {c: self.parts(c) for c in self.chunks.missing(set().union(*[c for c, w in zip(cut, whole) if not w]))}
-        alone = {i: self.parts(c[0]) for i, (c, w) in enumerate(zip(cut, whole)) if w}
-        self.learn({p for found in (*parts.values(), *alone.values()) for p in found if isinstance(p, str)})
-        known = self.chunks.now
-        for c, found in parts.items():
-            known[c] = self.ids(found)
-        return [self.ids(alone[i]) if w else b"".join([known[x] for x in c]) for i, (c, w) in enumerate(zip(cut, whole))]
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists, no cycles
+        try:
+            cut = [self.parts(t) if t else [] for t in texts]
+            get = self.words.now.get
+            new: set[str] = set()
+            for c in cut:
+                if None in map(get, c):
+                    new.update([x for x in c if get(x) is None])
+            self.learn(self.words.missing(new))
+            return [b"".join(map(get, c)) for c in cut]
+        finally:
+            if collecting:
+                gc.enable()
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids, special tokens included; ids without a token are skipped."""
@@ -374,7 +388,8 @@ def _encode(encoder: Encoder, texts: list[str | None]) -> pa.Array:
 
 def shared_rules(docs: DataFrame, tokenizer_path: str) -> Shared:
     with open(tokenizer_path, encoding="utf-8") as f:
-        return Shared(docs.sparkSession, Rules(f.read()), Encoder)
+        spec = f.read()
+    return Shared(docs.sparkSession, Rules(spec), Encoder, "bpe " + hashlib.sha256(spec.encode()).hexdigest())
 
 
 def decode(ids: Column, shared: Shared) -> Column:

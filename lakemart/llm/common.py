@@ -38,12 +38,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 class Shared:
     """A broadcast value of bounded size, from which every Python worker builds
-    its own object once (``make``); the id tells workers' objects apart."""
+    its own object once (``make``); the id tells workers' objects apart. Values of
+    the same ``key`` are equal: a worker keeps its object from one to the next."""
 
     held: dict[str, object] = {}
 
-    def __init__(self, spark: SparkSession, value, make: Callable = lambda x: x):
-        self.broadcast, self.make, self.id = spark.sparkContext.broadcast(value), make, uuid.uuid4().hex
+    def __init__(self, spark: SparkSession, value, make: Callable = lambda x: x, key: str | None = None):
+        self.broadcast, self.make, self.id = spark.sparkContext.broadcast(value), make, key or uuid.uuid4().hex
 
     def get(self):
         if self.id not in Shared.held:
