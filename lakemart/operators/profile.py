@@ -14,11 +14,21 @@ from .periods import days_with_orders
 
 
 def order_dates(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """First and last order day, rows, distinct customers (integer keys: on
+    bitmaps, in the pass that takes the dates) and the customers there are."""
     day = F.col("o_orderdate").cast("date")
-    o = orders.agg(
-        F.min(day).alias("first_order"), F.max(day).alias("last_order"),
-        F.count(F.lit(1)).alias("orders"), F.count_distinct("o_custkey").alias("customers_with_orders"))
     total = customer.agg(F.count(F.lit(1))).scalar()
+    if dict(orders.dtypes)["o_custkey"] not in ("bigint", "int", "smallint", "tinyint"):
+        o = orders.agg(F.min(day).alias("first_order"), F.max(day).alias("last_order"), F.count(F.lit(1)).alias("orders"),
+                       F.count_distinct("o_custkey").alias("customers_with_orders"))
+        return o.select("*", total.alias("customers_total"))
+    key = F.col("o_custkey").cast("bigint")
+    ranges = orders.groupBy(F.bitmap_bucket_number(key).alias("_range")).agg(
+        F.min(day).alias("_first"), F.max(day).alias("_last"), F.count(F.lit(1)).alias("_n"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"))
+    zero = F.lit(0).cast("bigint")
+    o = ranges.agg(F.min("_first").alias("first_order"), F.max("_last").alias("last_order"), F.coalesce(F.sum("_n"), zero).alias("orders"),
+                   F.coalesce(F.sum(F.when(F.col("_range").isNotNull(), F.bitmap_count("_bits"))), zero).alias("customers_with_orders"))
     return o.select("*", total.alias("customers_total"))
 
 

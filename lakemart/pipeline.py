@@ -9,19 +9,24 @@ makes a failed task's output invisible.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import BUILD_ORDER, DEFAULT, LAYERS, TABLES, Config
 from .operators import monitor, quality, refine
-from .operators.contracts import contracts_for
+from .operators.contracts import TableContract, contracts_for
+from .operators.refine import accept_sql, reason_sql, reject_sql, silver_projection_sql
 from .plans.layers import GOLD_TABLES, TableLayers, build_gold
 from .session import apply_engine_conf
 from .sources.tables import Source
 
 log = logging.getLogger("lakemart")
 
+#: The schema that holds the rows of silver and quarantine.
+STORE = "silver_store"
+
 
 # ---- catalog helpers --------------------------------------------------------
 def ensure_schemas(spark: SparkSession, config: Config = DEFAULT) -> None:
@@ -49,10 +54,16 @@ def describe_table(spark: SparkSession, layer: str, table: str, config: Config =
 
 
 def reset_silver(spark: SparkSession, config: Config = DEFAULT) -> None:
-    """Drop silver and quarantine tables, children before parents."""
+    """Drop silver and quarantine, children before parents, and their rows."""
     for t in reversed(BUILD_ORDER):
-        spark.sql(f"DROP TABLE IF EXISTS {config.fq('silver', t)}")
-        spark.sql(f"DROP TABLE IF EXISTS {config.fq('silver', 'quarantine_' + t)}")
+        for name in (config.fq("silver", t), config.fq("silver", f"quarantine_{t}"), config.fq(STORE, t)):
+            drop(spark, name)
+
+
+def drop(spark: SparkSession, name: str) -> None:
+    """Drop a table or view, whichever it is."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP {'VIEW' if spark.catalog.getTable(name).tableType == 'VIEW' else 'TABLE'} {name}")
 
 
 def write_table(df: DataFrame, name: str) -> None:
@@ -69,15 +80,70 @@ def write_bronze(spark: SparkSession, source: Source, config: Config = DEFAULT,
         write_table(df, config.fq("bronze", t))
 
 
-def write_silver(spark: SparkSession, config: Config = DEFAULT, tables=BUILD_ORDER, strict: bool = False) -> None:
-    """Quarantine and silver per table, parents first. Bronze is read twice per
-    table; the quarantine filter carries a pushable hint, so its scan skips clean
-    row groups."""
+@dataclass(frozen=True)
+class Split:
+    """What the writing pass over a bronze table counted."""
+
+    table: str
+    bronze: int
+    silver: int
+    quarantine: int
+
+    @property
+    def unaccounted(self) -> int:
+        return self.bronze - self.silver - self.quarantine
+
+
+def write_split(bronze: DataFrame, contract: TableContract, store: str, silver: str, quarantine: str, strict: bool = False) -> Split:
+    """Silver and quarantine of one table from one read of bronze and one write,
+    and the counts of that pass.
+
+    Every row is written once to the table ``store``, partitioned by its verdict: ``accepted``
+    rows with silver's typed columns, ``rejected`` ones and those in ``neither`` as they came,
+    with the reason. ``silver`` and ``quarantine`` are views of their partitions (a reader prunes
+    the others). The counts are observed on the way (``DataFrame.observe``), without another job."""
+    spark = bronze.sparkSession
+    accepted, rejected = accept_sql(contract, bronze), reject_sql(contract, bronze)
+    if strict:
+        rejected = f"NOT coalesce({accepted}, false)"
+    typed_columns = [c.rsplit(" AS ", 1)[-1] for c in silver_projection_sql(bronze.columns, contract)]
+    raw = ", ".join(f"`{c}`" for c in bronze.columns)
+    verdict = f"CASE WHEN {accepted} THEN 'accepted' WHEN {rejected} THEN 'rejected' ELSE 'neither' END AS _verdict"
+    # two steps: the raw row is packed before the typed columns take over its names
+    marked = bronze.selectExpr(verdict, f"struct({raw}) AS _raw", f"{reason_sql(contract, df=bronze)} AS _reason",
+                               *[f"{c.rsplit(' AS ', 1)[0]} AS `{n}`" for c, n in zip(silver_projection_sql(bronze.columns, contract), typed_columns)])
+    kept = F.col("_verdict") == "accepted"
+    rows = marked.select(*[F.when(kept, F.col(c)).alias(c) for c in typed_columns], F.when(~kept, F.col("_raw")).alias("_raw"),
+                         F.when(F.col("_verdict") == "rejected", F.col("_reason")).alias("_reason"), "_verdict")
+    seen = Observation(f"split {contract.table}")
+    counts = [F.count(F.lit(1)).alias("bronze"), F.count_if(kept).alias("silver"),
+              F.count_if(F.col("_verdict") == "rejected").alias("quarantine")]
+    rows.observe(seen, *counts).write.mode("overwrite").format("parquet").partitionBy("_verdict").saveAsTable(store)
+    for name in (silver, quarantine):
+        drop(spark, name)
+    spark.sql(f"CREATE VIEW {silver} AS SELECT {', '.join(f'`{c}`' for c in typed_columns)} FROM {store} WHERE _verdict = 'accepted'")
+    spark.sql(f"CREATE VIEW {quarantine} AS SELECT _raw.*, _reason AS {refine.REASON} FROM {store} WHERE _verdict = 'rejected'")
+    got = seen.get
+    return Split(contract.table, got["bronze"], got["silver"], got["quarantine"])
+
+
+def write_silver(spark: SparkSession, config: Config = DEFAULT, tables=BUILD_ORDER, strict: bool = False) -> dict[str, Split]:
+    """Quarantine and silver per table, parents first; bronze is read once per
+    table. Returns the counts observed by that read (``reconcile``). The rows
+    lie in the schema ``silver_store``."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {config.schema(STORE)}")
+    out = {}
     for t in tables:
-        bronze = spark.table(config.fq("bronze", t))
-        c = contracts_for(config)[t]
-        write_table(refine.quarantine(bronze, c, strict=strict), config.fq("silver", f"quarantine_{t}"))
-        write_table(refine.clean(bronze, c), config.fq("silver", t))
+        out[t] = write_split(spark.table(config.fq("bronze", t)), contracts_for(config)[t], config.fq(STORE, t), config.fq("silver", t),
+                             config.fq("silver", f"quarantine_{t}"), strict)
+        log.info("silver %s: %d rows, %d kept, %d rejected, %d in neither", t, out[t].bronze, out[t].silver, out[t].quarantine, out[t].unaccounted)
+    return out
+
+
+def reconcile(spark: SparkSession, splits: dict[str, Split]) -> DataFrame:
+    """Rules 9-16 from the observed counts: rule, violations. No table is read."""
+    rows = [(quality.NAME_RECON.format(t=t), abs(splits[t].unaccounted)) for t in TABLES if t in splits]
+    return spark.createDataFrame(rows, "rule string, violations long")
 
 
 def write_gold(spark: SparkSession, source: Source, config: Config = DEFAULT) -> None:

@@ -60,11 +60,13 @@ class LazyLayers(Layers):
     """Every layer derived lazily from ``source``.
 
     ``copies_source``: without a stamp, bronze is the source's own plan.
+    ``filters_bronze``: silver is the contract's filter of bronze, row by row.
 
     ``stamp`` adds ``_ingested_at`` to bronze (off for oracle-compared plans).
     """
 
     copies_source = True
+    filters_bronze = True
 
     def __init__(self, source: Source, config: Config = DEFAULT, stamp: bool = False):
         self.src = source
@@ -108,6 +110,8 @@ class TypedLayers(LazyLayers):
     """Silver typed but not filtered: what the declared constraints would have to
     hold against if nothing were quarantined."""
 
+    filters_bronze = False
+
     def silver(self, t: str) -> DataFrame:
         return self._get("silver", t, lambda: refine.typed(self.bronze(t), contracts_for(self.config)[t]))
 

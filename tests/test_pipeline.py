@@ -119,3 +119,56 @@ def test_cli_steps_and_catalog_helpers(spark, scratch):
     assert spark.catalog.currentDatabase() == "silver"
     spark.catalog.setCurrentDatabase("default")
     assert pipeline.list_tables(spark, "no_such_layer", cfg) == []
+
+
+def test_silver_reads_bronze_once_and_observes_its_counts(spark):
+    """One job's read of bronze gives silver, quarantine and rules 9-16."""
+    from lakemart.operators import refine
+    from lakemart.operators.contracts import CONTRACTS
+
+    cfg = Config()
+    src = fixture_source(ParquetSource(spark, SF_SMALL))
+    pipeline.ensure_schemas(spark, cfg)
+    pipeline.write_bronze(spark, src, cfg)
+    splits = pipeline.write_silver(spark, cfg)
+    layers = TableLayers(spark, src, cfg)
+    for t, c in CONTRACTS.items():
+        bronze = layers.bronze(t)
+        assert layers.silver(t).schema == refine.clean(bronze, c).schema or layers.silver(t).dtypes == refine.clean(bronze, c).dtypes, t
+        assert layers.silver(t).exceptAll(refine.clean(bronze, c)).isEmpty() and refine.clean(bronze, c).exceptAll(layers.silver(t)).isEmpty(), t
+        quarantine = layers.quarantine(t)
+        assert quarantine.columns == refine.quarantine(bronze, c).columns
+        assert quarantine.exceptAll(refine.quarantine(bronze, c)).isEmpty(), t
+        assert (splits[t].bronze, splits[t].silver, splits[t].quarantine) == (bronze.count(), layers.silver(t).count(), quarantine.count())
+    observed = {r["rule"]: r["violations"] for r in pipeline.reconcile(spark, splits).collect()}
+    recomputed = {r["rule"]: r["violations"] for r in quality.validation_report(layers, list(range(9, 17))).collect()}
+    assert observed == recomputed and any(recomputed.values())
+    # readers of silver prune the other partitions
+    plan = layers.silver("lineitem")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_verdict" in plan
+    # strict: the rows in neither are quarantined
+    strict = pipeline.write_silver(spark, cfg, tables=("lineitem",), strict=True)["lineitem"]
+    assert strict.unaccounted == 0 and strict.quarantine > splits["lineitem"].quarantine
+    assert layers.quarantine("lineitem").exceptAll(refine.quarantine(layers.bronze("lineitem"), CONTRACTS["lineitem"], strict=True)).isEmpty()
+    # a table of an earlier layout under the same name gives way
+    pipeline.reset_silver(spark, cfg)
+    pipeline.write_table(layers.bronze("region"), cfg.fq("silver", "region"))
+    assert pipeline.write_silver(spark, cfg, tables=("region",))["region"].bronze == 5
+    pipeline.reset_silver(spark, cfg)
+
+
+def test_split_of_empty_and_clashing_input(spark):
+    from lakemart.operators.contracts import CONTRACTS
+
+    cfg = Config()
+    pipeline.ensure_schemas(spark, cfg)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema(pipeline.STORE)}")
+    names = (cfg.fq(pipeline.STORE, "region"), cfg.fq("silver", "region"), cfg.fq("silver", "quarantine_region"))
+    for rows in ([], [(1, " A ", "x", 7), (None, "B", None, 8), (1, None, "y", 9)]):
+        df = spark.createDataFrame(rows, "r_regionkey bigint, r_name string, r_comment string, extra int")
+        got = pipeline.write_split(df, CONTRACTS["region"], *names)
+        assert (got.bronze, got.silver, got.quarantine) == ((3, 2, 1) if rows else (0, 0, 0))
+        assert sorted(map(tuple, spark.table(names[1]).collect()), key=str) == ([(1, "A", "x"), (1, None, "y")] if rows else [])
+        assert [tuple(r)[:4] for r in spark.table(names[2]).collect()] == ([(None, "B", None, 8)] if rows else [])
+    for n in names[1:] + names[:1]:
+        pipeline.drop(spark, n)
