@@ -9,14 +9,21 @@ one of k coordinates and a coordinate keeps its earliest. Documents with an
 empty coordinate throw again with the rank limit doubled. Two documents agree
 in a coordinate with the probability of their weighted Jaccard similarity.
 
-Classes. Equal texts are folded first (``md5``), so a copied text costs one
-row. Signatures are cut into bands; equal bands are buckets. Pairs are never
-formed over whole buckets: every bucket compares its members with its most
-central one (the member of the largest buckets), links are verified exactly on
-the shingle sets, components are formed, and only what is still in different
-components meets again: in small buckets each with each, in large ones after a
-further split by a second common band, until nothing is left. All links,
-labels and shingles stay in DataFrames.
+Weights. A shingle weighs as often as it stands in the text. The exact check
+counts an element for each occurrence, so that the plain Jaccard similarity of
+these is the weighted one of the shingles.
+
+Classes. Equal texts are folded first (``md5``): a node is a text, a copied text
+costs one row. Signatures are cut into bands; equal bands are buckets. First
+every bucket compares its members with its most central one (the member of the
+largest buckets); pairs that agree in too few coordinates are left out, the
+others verified exactly on their shingles, and components are formed. A bucket's
+lead is then done with there. Buckets that are still larger than a block and
+hold several components compare with further leads, as long as that finds
+links. Whatever members of different components then share a bucket are compared
+each with each, in blocks of bounded size, inside the group: a group hands on at
+most one link for each component that it joins, and no pair is ever a row. All
+links, labels and shingles stay in DataFrames.
 """
 
 from __future__ import annotations
@@ -30,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, per_text, staged
+from .common import Shared, fresh, per_text, staged
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-#: Buckets of up to so many members compare each with each; larger ones are split first.
-SMALL = 64
+#: Members of a bucket that are compared each with each in one group; more are dealt out in such blocks.
+BLOCK = 256
 #: Characters that a worker handles at a time.
 SLICE = 2_000_000
 
@@ -158,10 +165,28 @@ SIGNED = "struct<bands:array<bigint>,short:array<tinyint>>"
 SIGNED_ARROW = pa.struct([("bands", pa.list_(pa.int64())), ("short", pa.list_(pa.int8()))])
 
 
+def counted(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (shingle, document) with their number of occurrences, by document."""
+    if not len(hashes):
+        return hashes, docs, np.zeros(0, dtype=np.int64)
+    order = np.lexsort((hashes, docs))
+    h, d = hashes[order], docs[order]
+    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])]))
+    return h[first], d[first], np.diff(np.append(first, len(h)))
+
+
+def elements(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One element for each occurrence of a shingle: itself, and others made from it for the second and later ones."""
+    of = np.repeat(hashes, counts)
+    turn = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    with np.errstate(over="ignore"):
+        return np.where(turn == 0, of, mix(of + turn.astype(np.uint64) * _M2))
+
+
 def _band_rows(size: int, count: int, rows: int):
     def run(words: Words, texts):
-        h, d = shingles(words, texts, size)
-        sig = dart_minhash(h, d, len(texts), count * rows)
+        h, d, n = counted(*shingles(words, texts, size))
+        sig = dart_minhash(h, d, len(texts), count * rows, n.astype(float))
         keys, short = bands(sig, count, rows), (sig & U(255)).astype(np.uint8).view(np.int8)
         has = np.bincount(d, minlength=len(texts)) > 0
         ends = np.concatenate([[0], np.cumsum(np.where(has, count, 0))]).astype(np.int32)
@@ -174,12 +199,14 @@ def _band_rows(size: int, count: int, rows: int):
 
 
 def _shingle_rows(size: int):
+    """The elements of each text, sorted."""
     def run(words: Words, texts):
-        h, d = shingles(words, texts, size)
-        ends = np.cumsum(np.bincount(d, minlength=len(texts)))
-        sets = [np.unique(x) for x in np.split(h, ends[:-1])] if len(texts) else []
-        at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
+        h, d, n = counted(*shingles(words, texts, size))
+        flat = elements(h, n).view(np.int64)
+        of = np.repeat(d, n)
+        flat = flat[np.lexsort((flat, of))]
+        at = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(texts)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
 
     return run
 
@@ -213,11 +240,15 @@ def merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 # ---- classes ----------------------------------------------------------------------
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are similar enough, counted exactly."""
-    of = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(c + "_set"))
-    common = F.size(F.array_intersect("a_set", "b_set"))
-    found = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("common", common)
+def _verified(pairs: DataFrame, known: DataFrame, similarity: float, least: int) -> DataFrame:
+    """The distinct pairs (a, b) whose texts are similar enough: those that agree in
+    ``least`` coordinates (a few bytes move for that), counted exactly (only then
+    do the elements move)."""
+    short = lambda c: known.select(F.col("node").alias(c), F.col("short").alias(c + "_short"))
+    whole = lambda c: known.select(F.col("node").alias(c), F.col("set").alias(c + "_set"))
+    agree = F.size(F.filter(F.zip_with("a_short", "b_short", lambda x, y: x == y), lambda same: same))
+    likely = staged(_ordered(pairs).join(short("a"), "a").join(short("b"), "b").where(agree >= least).select("a", "b"))
+    found = likely.join(whole("a"), "a").join(whole("b"), "b").withColumn("common", F.size(F.array_intersect("a_set", "b_set")))
     return staged(found.where(F.col("common") >= similarity * (F.size("a_set") + F.size("b_set") - F.col("common")) - 1e-9)
                   .select("a", "b"))
 
@@ -226,115 +257,150 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def _star(members: DataFrame, weight: DataFrame) -> DataFrame:
-    """Each member (bucket, node, comp) with its bucket's most central node, if in another component."""
-    with_weight = members.join(weight, "node")
-    lead = staged(with_weight.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("n"), "comp")).alias("m"))
+def _leads(members: DataFrame, weight: DataFrame) -> DataFrame:
+    """Each bucket's most central member: bucket, lead, lead_comp."""
+    best = F.max(F.struct("weight", (-F.col("node")).alias("n"), "comp")).alias("m")
+    return staged(members.join(weight, "node").groupBy("bucket").agg(best)
                   .select("bucket", (-F.col("m.n")).alias("lead"), F.col("m.comp").alias("lead_comp")))
-    return (members.join(lead, "bucket").where("comp <> lead_comp")
-            .select(F.col("node").alias("a"), F.col("lead").alias("b")))
-
-
-def _each_with_each(members: DataFrame, known: DataFrame, similarity: float, least: int) -> DataFrame:
-    """The linked pairs of a bucket's members in different components. Both tests
-    are inside the join, the cheap one first: agreement in ``least`` signature
-    coordinates, then the exact similarity. No pair leaves it but a link."""
-    full = staged(members.select("bucket", "node", "comp").join(known, "node"))
-    side = lambda c: full.select("bucket", F.col("node").alias(c), F.col("comp").alias("c" + c), F.col("short").alias("s" + c),
-                                 F.col("set").alias("t" + c))
-    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    common = F.size(F.array_intersect("ta", "tb"))
-    linked = common * (1 + similarity) >= similarity * (F.size("ta") + F.size("tb")) - 1e-9
-    return staged(side("a").alias("l").join(side("b").alias("r"), (F.col("l.bucket") == F.col("r.bucket")) & (F.col("ca") < F.col("cb"))
-                                            & F.when(agree >= least, linked).otherwise(False))
-                  .select("a", "b").distinct())
-
-
-def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, node, comp, n) of the buckets that hold several components."""
-    now = staged(buckets.join(labels, "node"))
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (bucket, node, comp, n) of the buckets that hold several components; n: members."""
+    now = staged(members.select("bucket", "node").join(labels, "node"))
     several = staged(now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
                      .where("lo < hi").select("bucket", "n"))
     return staged(now.join(several, "bucket").select("bucket", "node", "comp", "n"))
 
 
-def _split(members: DataFrame, keys: DataFrame, band_count: int, reach: int = 8) -> DataFrame:
-    """The members of large buckets by each second band they have among the next
-    ``reach`` bands (cyclic): any three common bands of 25 hold two so close."""
-    second = keys.select("node", F.col("bucket").alias("other"), F.col("band").alias("other_band"))
-    mine = staged(members.select("bucket", "node").join(keys.select("node", "bucket", "band"), ["node", "bucket"]))
-    return (mine.join(second, (mine["node"] == second["node"])
-                      & F.pmod(F.col("other_band") - F.col("band"), F.lit(band_count)).between(1, reach))
-            .select(F.xxhash64("bucket", "other").alias("bucket"), mine["node"]))
+def _links(similarity: float, least: int):
+    """Compares the members of a group each with each (of two blocks: those of
+    one with those of the other) and gives links that join all components that
+    any links join: at most one less than there are components."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        node, comp, side = (table[c].to_numpy() for c in ("node", "comp", "side"))
+        short = table["short"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sets = table["set"].combine_chunks()
+        sets = sets if isinstance(sets, pa.ListArray) else pa.concat_arrays(sets.chunks)
+        values, at = sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(sets.offsets.to_numpy()))])
+        size = np.diff(at)
+        up = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        low, high = key[1].as_py(), key[2].as_py()
+        a, b = [], []
+        for i in np.flatnonzero(side == low).tolist():
+            others = np.flatnonzero((side == high) & (comp != comp[i])) if high != low else i + 1 + np.flatnonzero(comp[i + 1:] != comp[i])
+            if not len(others):
+                continue
+            near = np.minimum(size[others], size[i]) >= similarity * np.maximum(size[others], size[i]) - 1e-9
+            others = others[near]
+            others = others[(short[others] == short[i]).sum(axis=1) >= least]
+            mine = values[at[i]:at[i + 1]]
+            for j in others.tolist():
+                x, y = top(comp[i]), top(comp[j])
+                if x == y:
+                    continue
+                common = len(np.intersect1d(mine, values[at[j]:at[j + 1]], assume_unique=True))
+                if common >= similarity * (size[i] + size[j] - common) - 1e-9:
+                    up[max(x, y)] = min(x, y)
+                    a.append(node[i])
+                    b.append(node[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    return run
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, band_count: int = BANDS,
-            band_rows: int = ROWS, small: int = SMALL) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class), representative.
 
-    A class is a component of the documents linked by a Jaccard similarity of
-    their word-shingle sets of at least ``similarity``, or by equal texts. Words
-    are runs of letters, digits and underscores in lower case. Texts of fewer
-    words than a shingle count as one shingle. Texts without words only equal
-    copies; a null text is a class of its own. Rows that repeat an id get the
-    same class; a null id takes no part and gets class null. Other columns are
-    ignored, an empty table gives an empty result."""
-    spark = docs.sparkSession
+def _settled(members: DataFrame, known: DataFrame, similarity: float, least: int, block: int) -> DataFrame:
+    """Links between all members of a bucket in different components, exactly."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = (members.withColumn("side", F.pmod(F.hash("node"), blocks))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "node", "comp", "side"))
+    return staged(dealt.join(known.select("node", "short", "set"), "node").groupBy("bucket", "low", "high")
+                  .applyInArrow(_links(similarity, least), "a long, b long").distinct())
+
+
+def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int, band_rows: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(all rows: doc_id, key), (texts: key, comp, least doc_id of the text); comp numbers the classes."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = Shared(spark, None, Words)
-    signed = staged(base.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"),
+    shared = Shared(docs.sparkSession, None, Words)
+    key = F.unhex(F.md5(F.col("text").cast("binary")))
+    signed = staged(base.select("doc_id", key.alias("key"),
                                 per_text(shared, _band_rows(shingle, band_count, band_rows), SIGNED, SIGNED_ARROW, SLICE)(F.col("text")).alias("s"))
                     .select("doc_id", "key", "s.*"))
-    usable = signed.where("doc_id IS NOT NULL AND key IS NOT NULL")
     # one row per distinct text; the signatures of equal texts are equal
-    distinct = staged(usable.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("short").alias("short")))
-    keys = distinct.select("node", F.posexplode("bands").alias("band", "bucket"))
+    distinct = staged(signed.where("doc_id IS NOT NULL AND key IS NOT NULL").groupBy("key")
+                      .agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("short").alias("short"))
+                      .withColumn("node", F.monotonically_increasing_id()))
+    keys = distinct.select("node", F.explode("bands").alias("bucket"))
     shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "band", "n"))
+    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n"))
     nodes = staged(keys.groupBy("node").agg(F.sum("n").alias("weight")))
     labels = nodes.select("node", F.col("node").alias("comp"))
     if not nodes.isEmpty():
-        sets = staged(base.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
-                      .select(F.col("doc_id").alias("node"),
-                              per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set")))
-        buckets = keys.select("bucket", "node")
-        known = staged(distinct.select("node", "short").join(sets, "node"))
+        wanted = distinct.join(nodes, "node", "left_semi").select("node", "least", F.col("key").alias("_key"), "short")
+        known = staged(base.select("doc_id", key.alias("key"), "text").join(wanted, (F.col("doc_id") == F.col("least")) & (F.col("key") == F.col("_key")))
+                       .select("node", "short", per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set"))
+                       .dropDuplicates(["node"]))
         # four standard deviations below the similarity
         coordinates = band_count * band_rows
         least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
+        members = keys.select("bucket", "node", F.col("node").alias("comp"), "n")
+        while True:  # stars: every round has the links of one more lead in each open bucket
+            lead = _leads(members, nodes)
+            pairs = members.join(lead, "bucket").where("comp <> lead_comp").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+            links = _verified(pairs, known, similarity, least)
+            labels = merge(labels, links)
+            done = members.join(lead, "bucket").where("node <> lead")
+            members = _open(done, labels)
+            if links.isEmpty() or members.where(F.col("n") > block).isEmpty():
+                break
+        labels = merge(labels, _settled(members, known, similarity, least, block))
+    texts = distinct.join(labels, "node", "left").select("key", "least", F.coalesce("comp", "node").alias("comp"))
+    return signed.select("doc_id", "key"), staged(texts)
+
 
-        def star(members: DataFrame) -> DataFrame:
-            return merge(labels, _verified(staged(_ordered(_star(members, nodes))), sets, similarity))
-
-        def rest(members: DataFrame) -> DataFrame:
-            return merge(labels, _each_with_each(members, known, similarity, least))
-
-        labels = star(buckets.withColumn("comp", F.col("node")))
-        members = _open(buckets, labels)
-        large = members.where(F.col("n") > small)
-        finer = staged(_split(large, keys, band_count)) if not large.isEmpty() else None
-        labels = rest(members.where(F.col("n") <= small))
-        if finer is not None:
-            labels = star(_open(finer, labels))
-            labels = rest(_open(finer, labels))
-    found = (signed.join(distinct.select("key", "node"), "key", "left")
-             .join(labels, "node", "left")
-             .select("doc_id", F.coalesce("comp", "node", "doc_id").alias("class_id")))
-    return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"),
-                        (F.col("doc_id") == F.col("class_id")).alias("representative"))
-
-
-def keep_representatives(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class (of rows that repeat its id, one), with its
-    columns. Rows without an id stay."""
+def classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, band_count: int = BANDS,
+            band_rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class), representative: one row
+    per row of ``docs``.
+
+    A class is a component of the texts linked by a weighted Jaccard similarity
+    of their word shingles (weight: occurrences) of at least ``similarity``. Words
+    are runs of letters, digits and underscores in lower case. Texts of fewer
+    words than a shingle count as one shingle. Texts without words only equal
+    copies; a null text is a class of its own. Rows that repeat an id with the same
+    text get the same class; with different texts each row gets the class of its
+    text (so two classes can have the same least id; their representatives are
+    different rows). A null id takes no part and gets class null. Other columns
+    are ignored, an empty table gives an empty result."""
+    rows, texts = _labelled(docs, similarity, shingle, band_count, band_rows, block)
+    ids = texts.groupBy("comp").agg(F.min(F.struct("least", "key")).alias("r"))
+    named = staged(texts.join(ids, "comp").select("key", F.col("r.least").alias("class_id"), (F.col("r.key") == F.col("key")).alias("leads")))
+    found = rows.join(named, "key", "left")
+    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
+    return found.select("doc_id", class_id.alias("class_id"),
+                        ((F.col("doc_id") == class_id) & F.coalesce("leads", F.lit(True))).alias("representative"))
+
+
+def keep_representatives(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, band_count: int = BANDS,
+                         band_rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """One row of each class (its least doc_id and the text that goes with it; of
+    equal such rows the one whose columns come first), with its columns. Rows
+    without an id or text stay."""
     from pyspark.sql import Window
 
-    kept = staged(classes(docs, **options).where("representative").select(F.col("doc_id").alias("_kept")).distinct())
-    number = "_number"
-    while number in docs.columns:
-        number += "_"
-    known = docs.where(F.col("doc_id").isNotNull())
-    same = known.join(kept, known["doc_id"].cast("long") == kept["_kept"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in ("text",)])
+    _, texts = _labelled(docs, similarity, shingle, band_count, band_rows, block)
+    kept = staged(texts.groupBy("comp").agg(F.min(F.struct("least", "key")).alias("r")).select(F.col("r.least").alias("_least"), F.col("r.key").alias("_of")))
+    key, number = fresh("_key", docs.columns), fresh("_number", docs.columns)
+    known = docs.withColumn(key, F.unhex(F.md5(F.col("text").cast("string").cast("binary"))))
+    apart = F.col("doc_id").isNull() | F.col(key).isNull()
+    same = known.where(~apart).join(kept, (F.col("doc_id").cast("long") == F.col("_least")) & (F.col(key) == F.col("_of")), "left_semi")
+    simple = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    order = Window.partitionBy("doc_id", key).orderBy(*simple)
     one = same.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(number)
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    return one.unionByName(known.where(apart)).drop(key)

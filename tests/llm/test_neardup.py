@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,8 +11,14 @@ from llm_util import ODD
 
 
 def shingle_set(text, n=5):
+    """Shingles with their occurrences."""
     w = neardup.WORD.findall((text or "").lower())
-    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else Counter([tuple(w)] if w else [])
+
+
+def linked(a, b):
+    """Weighted Jaccard similarity of at least 0.8."""
+    return bool(a and b) and sum((a & b).values()) >= 0.8 * sum((a | b).values()) - 1e-9
 
 
 def brute(texts):
@@ -27,7 +34,7 @@ def brute(texts):
     for i in range(len(texts)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if texts[i] is not None and (texts[i] == texts[j] or (a and b and len(a & b) >= 0.8 * len(a | b) - 1e-9)):
+            if texts[i] is not None and (texts[i] == texts[j] or linked(a, b)):
                 x, y = sorted((top(i), top(j)))
                 up[y] = x
     return [top(i) for i in range(len(texts))]
@@ -71,8 +78,9 @@ def test_classes_match_brute_force(docs_of, corpus):
     assert [got[i] for i in range(len(corpus))] == brute(corpus)
 
 
-def test_large_buckets_are_split_and_stay_whole(docs_of, prose):
-    """A group of many near copies, with buckets over the small size."""
+@pytest.mark.parametrize("block", [8, 1000])
+def test_large_buckets_stay_whole(docs_of, prose, block):
+    """A group of many near copies, in blocks smaller than its buckets and in one."""
     rng = random.Random(4)
     base = prose(150, 7).split()
     texts = [" ".join(base)]
@@ -81,10 +89,51 @@ def test_large_buckets_are_split_and_stay_whole(docs_of, prose):
         for _ in range(1 + i % 7):
             w[rng.randrange(len(w))] = f"w{rng.randrange(50)}"
         texts.append(" ".join(w))
-    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs_of(texts), small=8).collect()}
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs_of(texts), block=block).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts)
 
 
+def test_one_bucket_of_two_thousand_near_copies(docs_of, prose):
+    """The size of a bucket changes nothing in the result."""
+    rng = random.Random(8)
+    base = prose(60, 3).split()
+    texts = []
+    for i in range(2000):
+        w = list(base)
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(30)}"
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs_of(texts)).collect()}
+    # the same components by brute force over the distinct texts
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(t, i)
+    want = dict(zip(first, brute(list(first))))
+    ids = list(first.values())
+    assert [got[i] for i in range(len(texts))] == [ids[want[t]] for t in texts]
+
+
+def test_repeated_ids_with_different_texts_lose_no_document(spark, prose):
+    a, b = prose(50, 1), prose(50, 2)
+    docs = spark.createDataFrame([(5, a, 1), (5, b, 2), (3, a, 3), (9, b, 4), (5, a, 5)], "doc_id long, text string, _key int")
+    rows = sorted((r["doc_id"], r["class_id"], r["representative"]) for r in neardup.classes(docs).collect())
+    assert rows == [(3, 3, True), (5, 3, False), (5, 3, False), (5, 5, True), (9, 5, False)]
+    kept = sorted(tuple(r) for r in neardup.keep_representatives(docs).collect())
+    assert kept == [(3, a, 3), (5, b, 2)]
+
+
+def test_occurrences_are_weights(docs_of, prose):
+    """Equal sets of shingles with different occurrences are less similar; the brute force counts them too."""
+    line = prose(12, 5)
+    texts = [" ".join([line] * n) for n in (2, 3, 10, 11, 40)]
+    assert [linked(shingle_set(texts[0]), shingle_set(t)) for t in texts[1:3]] == [False, False]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs_of(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts) == [0, 1, 2, 2, 4]
+    h, d, n = neardup.counted(np.array([7, 5, 7, 7], dtype=np.uint64), np.array([0, 0, 0, 1]))
+    assert (h.tolist(), d.tolist(), n.tolist()) == ([5, 7, 7], [0, 0, 1], [1, 2, 1])
+    assert len(set(neardup.elements(h, n).tolist())) == 3
+
+
 def test_null_ids_empty_table_and_representatives(docs_of, corpus):
     assert neardup.classes(docs_of([])).count() == 0
     rows = neardup.classes(docs_of(["x y z", "x y z", None], ids=[None, 4, 5])).collect()
