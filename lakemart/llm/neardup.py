@@ -337,28 +337,33 @@ def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int,
                       .agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("short").alias("short"))
                       .withColumn("node", F.monotonically_increasing_id()))
     keys = distinct.select("node", F.explode("bands").alias("bucket"))
-    shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n"))
-    nodes = staged(keys.groupBy("node").agg(F.sum("n").alias("weight")))
+    # near copies share many buckets: of those with the same members one is enough
+    of = lambda salt: F.bit_xor(F.xxhash64("node", F.lit(salt)))
+    shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n"), of(1).alias("x"), of(2).alias("y")).where("n > 1")
+                         .groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.count("*").alias("alike")))
+    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n", "alike"))
+    nodes = staged(keys.groupBy("node").agg(F.sum(F.col("n") * F.col("alike")).alias("weight")))
     labels = nodes.select("node", F.col("node").alias("comp"))
     if not nodes.isEmpty():
-        wanted = distinct.join(nodes, "node", "left_semi").select("node", "least", F.col("key").alias("_key"), "short")
-        known = staged(base.select("doc_id", key.alias("key"), "text").join(wanted, (F.col("doc_id") == F.col("least")) & (F.col("key") == F.col("_key")))
-                       .select("node", "short", per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set"))
-                       .dropDuplicates(["node"]))
+        # each text from one row: partitioned by what makes that row unique, so that repeats go without another exchange
+        wanted = distinct.join(nodes, "node", "left_semi").select("node", F.col("least").alias("doc_id"), "key", "short")
+        texts = base.withColumn("key", key).join(wanted, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+        known = staged(texts.select("node", "short", per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set")))
         # four standard deviations below the similarity
         coordinates = band_count * band_rows
         least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
-        members = keys.select("bucket", "node", F.col("node").alias("comp"), "n")
+        members, rest = keys.select("bucket", "node", F.col("node").alias("comp"), "n"), None
         while True:  # stars: every round has the links of one more lead in each open bucket
             lead = _leads(members, nodes)
-            pairs = members.join(lead, "bucket").where("comp <> lead_comp").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-            links = _verified(pairs, known, similarity, least)
+            met = staged(members.join(lead, "bucket").where("node <> lead"))
+            links = _verified(met.where("comp <> lead_comp").select(F.col("node").alias("a"), F.col("lead").alias("b")), known, similarity, least)
             labels = merge(labels, links)
-            done = members.join(lead, "bucket").where("node <> lead")
-            members = _open(done, labels)
-            if links.isEmpty() or members.where(F.col("n") > block).isEmpty():
+            left = _open(met, labels)
+            members, small = left.where(F.col("n") > block), left.where(F.col("n") <= block)
+            rest = small if rest is None else rest.unionByName(small)
+            if links.isEmpty() or members.isEmpty():
                 break
+        members = _open(rest.unionByName(members), labels)
         labels = merge(labels, _settled(members, known, similarity, least, block))
     texts = distinct.join(labels, "node", "left").select("key", "least", F.coalesce("comp", "node").alias("comp"))
     return signed.select("doc_id", "key"), staged(texts)
