@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ WORD = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
+#: Bits of the sieve that keeps texts out of a join.
+SIEVE = 1 << 26
 #: Members of a bucket that are compared each with each in one group; more are dealt out in such blocks.
 BLOCK = 256
 #: Characters that a worker handles at a time.
@@ -257,19 +260,19 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def _leads(members: DataFrame, weight: DataFrame) -> DataFrame:
+def _leads(members: DataFrame) -> DataFrame:
     """Each bucket's most central member: bucket, lead, lead_comp."""
     best = F.max(F.struct("weight", (-F.col("node")).alias("n"), "comp")).alias("m")
-    return staged(members.join(weight, "node").groupBy("bucket").agg(best)
+    return staged(members.groupBy("bucket").agg(best)
                   .select("bucket", (-F.col("m.n")).alias("lead"), F.col("m.comp").alias("lead_comp")))
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, node, comp, n) of the buckets that hold several components; n: members."""
-    now = staged(members.select("bucket", "node").join(labels, "node"))
+    """Members (bucket, node, comp, n, weight) of the buckets that hold several components; n: members."""
+    now = staged(members.select("bucket", "node", "weight").join(labels, "node"))
     several = staged(now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
                      .where("lo < hi").select("bucket", "n"))
-    return staged(now.join(several, "bucket").select("bucket", "node", "comp", "n"))
+    return staged(now.join(several, "bucket").select("bucket", "node", "comp", "n", "weight"))
 
 
 def _links(similarity: float, least: int):
@@ -324,6 +327,27 @@ def _settled(members: DataFrame, known: DataFrame, similarity: float, least: int
                   .applyInArrow(_links(similarity, least), "a long, b long").distinct())
 
 
+def _sieved(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc_id may be wanted, by a bit for each hash value: what is
+    broadcast has a fixed size (SIEVE bits); the join that follows decides."""
+    at = lambda df: df.select(F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE)).alias("h"))
+    ranges = (at(wanted).groupBy(F.expr("h div 32768").alias("r"))
+              .agg(F.bitmap_construct_agg(F.col("h") % 32768).alias("bits")).collect())  # 4 kB each, SIEVE / 32768 at most
+    bits = np.zeros(SIEVE // 8, dtype=np.uint8)
+    for r in ranges:
+        bits[r["r"] * 4096:(r["r"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    shared = Shared(base.sparkSession, bits)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        mine = shared.get()
+        for column in columns:
+            h = column.to_numpy(zero_copy_only=False)
+            yield pa.array((mine[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1)
+
+    may = F.arrow_udf(run, "boolean")(F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE)))
+    return base.where(may)
+
+
 def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int, band_rows: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(all rows: doc_id, key), (texts: key, comp, least doc_id of the text); comp numbers the classes."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -337,32 +361,37 @@ def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int,
                       .agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("short").alias("short"))
                       .withColumn("node", F.monotonically_increasing_id()))
     keys = distinct.select("node", F.explode("bands").alias("bucket"))
+    shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n"))
     # near copies share many buckets: of those with the same members one is enough
     of = lambda salt: F.bit_xor(F.xxhash64("node", F.lit(salt)))
-    shared_keys = staged(keys.groupBy("bucket").agg(F.count("*").alias("n"), of(1).alias("x"), of(2).alias("y")).where("n > 1")
-                         .groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.count("*").alias("alike")))
-    keys = staged(keys.join(shared_keys, "bucket").select("bucket", "node", "n", "alike"))
+    alike = (keys.groupBy("bucket").agg(F.count("*").alias("n"), of(1).alias("x"), of(2).alias("y"))
+             .groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.count("*").alias("alike")).select("bucket", "alike"))
+    keys = staged(keys.join(alike, "bucket"))
     nodes = staged(keys.groupBy("node").agg(F.sum(F.col("n") * F.col("alike")).alias("weight")))
     labels = nodes.select("node", F.col("node").alias("comp"))
     if not nodes.isEmpty():
         # each text from one row: partitioned by what makes that row unique, so that repeats go without another exchange
         wanted = distinct.join(nodes, "node", "left_semi").select("node", F.col("least").alias("doc_id"), "key", "short")
-        texts = base.withColumn("key", key).join(wanted, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+        texts = _sieved(base, wanted).withColumn("key", key).join(wanted, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
         known = staged(texts.select("node", "short", per_text(shared, _shingle_rows(shingle), "array<bigint>", pa.list_(pa.int64()), SLICE)(F.col("text")).alias("set")))
         # four standard deviations below the similarity
         coordinates = band_count * band_rows
         least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
-        members, rest = keys.select("bucket", "node", F.col("node").alias("comp"), "n"), None
+        keys = keys.join(nodes, "node")
+        members, rest, before = keys.select("bucket", "node", F.col("node").alias("comp"), "n", "weight"), None, None
         while True:  # stars: every round has the links of one more lead in each open bucket
-            lead = _leads(members, nodes)
+            lead = _leads(members)
             met = staged(members.join(lead, "bucket").where("node <> lead"))
             links = _verified(met.where("comp <> lead_comp").select(F.col("node").alias("a"), F.col("lead").alias("b")), known, similarity, least)
             labels = merge(labels, links)
             left = _open(met, labels)
             members, small = left.where(F.col("n") > block), left.where(F.col("n") <= block)
             rest = small if rest is None else rest.unionByName(small)
-            if links.isEmpty() or members.isEmpty():
+            now = members.count()
+            if not now or (before is not None and now > 0.75 * before):  # stars no longer close buckets
                 break
+            before = now
         members = _open(rest.unionByName(members), labels)
         labels = merge(labels, _settled(members, known, similarity, least, block))
     texts = distinct.join(labels, "node", "left").select("key", "least", F.coalesce("comp", "node").alias("comp"))
