@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, fresh, per_text, staged
@@ -47,7 +47,7 @@ BANDS, ROWS = 25, 5
 #: Bits of the sieve that keeps texts out of a join.
 SIEVE = 1 << 26
 #: Members of a bucket that are compared each with each in one group; more are dealt out in such blocks.
-BLOCK = 256
+BLOCK = 512
 #: Characters that a worker handles at a time.
 SLICE = 2_000_000
 
@@ -320,11 +320,10 @@ def _links(similarity: float, least: int):
 def _settled(members: DataFrame, known: DataFrame, similarity: float, least: int, block: int) -> DataFrame:
     """Links between all members of a bucket in different components, exactly."""
     blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = (members.withColumn("side", F.pmod(F.hash("node"), blocks))
+    dealt = (members.join(known.select("node", "short", "set"), "node").withColumn("side", F.pmod(F.hash("node"), blocks))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "node", "comp", "side"))
-    return staged(dealt.join(known.select("node", "short", "set"), "node").groupBy("bucket", "low", "high")
-                  .applyInArrow(_links(similarity, least), "a long, b long").distinct())
+             .select("bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "node", "comp", "side", "short", "set"))
+    return staged(dealt.groupBy("bucket", "low", "high").applyInArrow(_links(similarity, least), "a long, b long").distinct())
 
 
 def _sieved(base: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -367,8 +366,10 @@ def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int,
     of = lambda salt: F.bit_xor(F.xxhash64("node", F.lit(salt)))
     alike = (keys.groupBy("bucket").agg(F.count("*").alias("n"), of(1).alias("x"), of(2).alias("y"))
              .groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.count("*").alias("alike")).select("bucket", "alike"))
-    keys = staged(keys.join(alike, "bucket"))
-    nodes = staged(keys.groupBy("node").agg(F.sum(F.col("n") * F.col("alike")).alias("weight")))
+    # a node stands in ``band_count`` buckets at most
+    weight = F.sum(F.col("n") * F.col("alike")).over(Window.partitionBy("node")).alias("weight")
+    keys = staged(keys.join(alike, "bucket").select("bucket", "node", "n", weight))
+    nodes = staged(keys.select("node").distinct())
     labels = nodes.select("node", F.col("node").alias("comp"))
     if not nodes.isEmpty():
         # each text from one row: partitioned by what makes that row unique, so that repeats go without another exchange
@@ -378,7 +379,6 @@ def _labelled(docs: DataFrame, similarity: float, shingle: int, band_count: int,
         # four standard deviations below the similarity
         coordinates = band_count * band_rows
         least = math.floor(similarity * coordinates - 4 * math.sqrt(similarity * (1 - similarity) * coordinates))
-        keys = keys.join(nodes, "node")
         members, rest, before = keys.select("bucket", "node", F.col("node").alias("comp"), "n", "weight"), None, None
         while True:  # stars: every round has the links of one more lead in each open bucket
             lead = _leads(members)
@@ -426,8 +426,6 @@ def keep_representatives(docs: DataFrame, similarity: float = SIMILARITY, shingl
     """One row of each class (its least doc_id and the text that goes with it; of
     equal such rows the one whose columns come first), with its columns. Rows
     without an id or text stay."""
-    from pyspark.sql import Window
-
     _, texts = _labelled(docs, similarity, shingle, band_count, band_rows, block)
     kept = staged(texts.groupBy("comp").agg(F.min(F.struct("least", "key")).alias("r")).select(F.col("r.least").alias("_least"), F.col("r.key").alias("_of")))
     key, number = fresh("_key", docs.columns), fresh("_number", docs.columns)
