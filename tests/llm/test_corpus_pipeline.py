@@ -75,5 +75,5 @@ def test_run_and_registration(spark, sf_dir):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
     queries = E.queries()
     assert set(registry.QUERIES) | {"pipeline"} <= set(queries)
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES) == list(range(1, 14))
     assert queries["pipeline"](spark, sf_dir[0]).count() > 0
