@@ -55,6 +55,21 @@ def test_repeated_rows_and_digest(docs_of):
     assert len(rows) == 4 and {r["law"] for r in rows} == {"bytes"} and {r["grown_shard"] for r in rows} == {None}
 
 
+@pytest.mark.parametrize("ids", [[7] * 3000, [None] * 3000])
+def test_equal_rows_are_divided(spark, docs_of, prose, ids):
+    texts = ["one row again and again"] * 3000 + [prose(8, i) for i in range(1000)]
+    docs = docs_of(texts, ids=ids + list(range(10_000, 11_000))).repartition(6)
+    rows = sharding.shard(docs, cell_rows=20).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean, largest = sum(sizes.values()) / 40, max(r["size"] for r in rows)
+    assert len(rows) == 4000 and len(sizes) == 40
+    assert all(abs(s - mean) <= largest + sharding.TOLERANCE * mean for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_no_python_in_the_plan(docs_of):
     df = sharding.digest(docs_of(["a", "b"]))
     plan = df._jdf.queryExecution().toString()
