@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,7 +79,7 @@ class Pricer:
         self.rank = {}
         for i, w in enumerate(words, 1):
             self.rank.setdefault(w.lower(), i)
-        self.longest = max(map(len, self.rank), default=0)
+        self.begins = {w[:i] for w in self.rank for i in range(1, len(w) + 1)}
 
     def word(self, s: str) -> float | None:
         """Bits of a dictionary word in any case, perhaps with look-alikes."""
@@ -98,11 +100,16 @@ class Pricer:
         """Every reading other than brute force: (kind, start, end, bits)."""
         n = len(s)
         out = []
+        low = [c.lower() for c in s]
+        plain = ["".join(LOOK_ALIKE.get(x, x) for x in c) for c in low]
         for i in range(n):
-            for j in range(i + 3, min(n, i + self.longest) + 1):
-                bits = self.word(s[i:j])
-                if bits is not None:
-                    out.append(("word", i, j, bits))
+            a = b = ""  # read on while some word begins so
+            for j in range(i + 1, n + 1):
+                a, b = a + low[j - 1], b + plain[j - 1]
+                if a not in self.begins and b not in self.begins:
+                    break
+                if j - i >= 3 and (a in self.rank or b in self.rank):
+                    out.append(("word", i, j, self.word(s[i:j])))
             if s[i] == " ":
                 out.append(("blank", i, i + 1, 1.0))
             m = DATE.match(s, i)
@@ -141,9 +148,9 @@ class Pricer:
         """Least bits, and the segmentation that has them. Each segment after the
         first costs one bit more, for the guesser's choice of its kind."""
         n = len(s)
-        ending: list[list] = [[] for _ in range(n + 1)]
+        ending: dict[int, list] = {}
         for piece in self.pieces(s):
-            ending[piece[2]].append(piece)
+            ending.setdefault(piece[2], []).append(piece)
         best = [0.0] + [math.inf] * n  # whatever the last segment is
         brute = [math.inf] * (n + 1)  # the last segment is brute force
         back: list = [None] * (n + 1)
@@ -154,7 +161,7 @@ class Pricer:
             longer = brute[j - 1] + one
             brute[j], brute_from[j] = (longer, brute_from[j - 1]) if longer <= fresh_start else (fresh_start, j - 1)
             best[j], back[j] = brute[j], ("brute", brute_from[j])
-            for kind, i, _, bits in ending[j]:
+            for kind, i, _, bits in ending.get(j, ()):
                 cost = best[i] + bits + (1 if i else 0)
                 if cost < best[j]:
                     best[j], back[j] = cost, (kind, i)
@@ -186,6 +193,7 @@ class Scanner:
         out = []
         if any(k in low for k in CONTEXT_KEYS):
             taken = sorted((s, e) for s, _, e, _ in base)
+            reach = list(accumulate((e for _, e in taken), max))  # ascending: where the spans so far end
             for m in CONTEXT.finditer(text):
                 g = m.lastindex
                 start, end = m.span(g)
@@ -194,10 +202,9 @@ class Scanner:
                 value = text[start:end]
                 if len(value) < self.min_length:
                     continue
-                at = start
-                for s, e in taken:  # how far the base spans cover the value
-                    if s <= at < e:
-                        at = e
+                at, k = start, bisect_right(reach, start)
+                while k < len(taken) and taken[k][0] <= at < end:  # how far the base spans cover the value
+                    at, k = max(at, taken[k][1]), k + 1
                 if at >= end:
                     continue
                 bits, _ = self.pricer.cheapest(value)

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -117,3 +119,26 @@ def test_a_value_beyond_its_base_span_is_masked_whole(text, value):
     masked = secrets._masked(scanner, [text])[0]
     assert masked.count(secrets.MASK) == 1 and not any(c in masked for c in "#!$")
     assert scanner.scan(f"token={HEX40}")[0]["kind"] == "assign" and len(scanner.scan(f"token={HEX40}")) == 2  # assign and hex, no guess
+
+
+def test_time_is_linear_in_the_text():
+    scanner = secrets.Scanner((secrets.COMMON, 36.0, 8))
+
+    def seconds(text):
+        at = time.process_time()
+        scanner.scan(text)
+        return time.process_time() - at
+
+    lines = "".join(f"token=abc123!{i}\n" for i in range(20_000))
+    assert seconds(lines) < 16 * max(0.05, seconds(lines[:len(lines) // 4]))
+    rng = random.Random(4)
+    value = "".join(rng.choice("abcdefghijkmnopqrstuvwxyz0123456789#!XYZ") for _ in range(1_000_000))
+    found = scanner.scan(f"pwd={value}")
+    assert [(s["kind"], s["start"], s["end"]) for s in found] == [("guess", 4, 4 + len(value))]
+
+
+def test_nested_base_spans_cover_a_value():
+    scanner = secrets.Scanner((secrets.COMMON, 36.0, 8))
+    text = f"token={HEX40} secret={HEX40}#Zq!9vKp2 pwd=xkqzjvwmtrbplhgd"
+    guesses = [text[s["start"]:s["end"]] for s in scanner.scan(text) if s["kind"] == "guess"]
+    assert guesses == [f"{HEX40}#Zq!9vKp2", "xkqzjvwmtrbplhgd"]
