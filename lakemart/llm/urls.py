@@ -8,12 +8,17 @@ multinomial naive Bayes model. Its training labels come from the pages
 themselves: a page whose segmented host holds a seed word of unwanted sites is
 an example to block, any other one to allow; what else goes with either is
 counted over all pages.
+
+No count is cut and none goes through the driver. Word counts are a table that
+is joined to the substrings of each distinct run of letters in host names, so
+Viterbi has just the words that a run can hold; token weights are a table that
+is joined to the tokens of each distinct host and path, and added up as whole
+numbers, so the order of adding doesn't matter.
 """
 
 from __future__ import annotations
 
 import math
-import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,14 +41,16 @@ SEEDS = (
     "porn xxx adult escort dating spam phishing malware warez crack torrent ads adserver adware popup clickbait "
     "tracker track loan loans payday crypto giveaway").split()
 
-#: Bounds of what the driver holds: the most frequent words, and the most frequent tokens.
-VOCABULARY = 50_000
-TOKENS = 50_000
+#: The least share of all words that a seed counts as: it may be missing from clean texts.
+SEED_SHARE = 1e-4
+#: Letters of the longest word that a host label is split into.
 LONGEST = 24
 THRESHOLD = 0.5
+#: Weights are added as whole numbers of this fraction.
+UNIT = 1e-9
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-RUN = re.compile(r"[^\W\d_]+|\d+")
+LETTERS, DIGITS, NAME = r"[\p{L}\p{Nl}\p{No}]+", r"\p{Nd}+", r"\A\p{L}"
 
 
 def parts(pages: DataFrame) -> DataFrame:
@@ -69,13 +76,12 @@ def matched(rules=RULES) -> tuple[Column, Column]:
 
 
 class Segmenter:
-    """Unigram Viterbi over runs of letters."""
+    """Unigram Viterbi over runs of letters. ``total``: all words, if ``counts`` holds some of them only."""
 
-    def __init__(self, counts: dict[str, int], longest: int = LONGEST, room: int = 200_000):
-        self.total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None, longest: int = LONGEST):
+        self.total = sum(counts.values()) + 1 if total is None else total
         self.log = {w: math.log(c / self.total) for w, c in counts.items()}
-        self.longest, self.room = longest, room
-        self.known: dict[str, list[str]] = {}
+        self.longest = longest
 
     def price(self, w: str) -> float:
         p = self.log.get(w)
@@ -83,9 +89,6 @@ class Segmenter:
         return p if p is not None else -math.log(self.total) - len(w) * math.log(10)
 
     def split(self, run: str) -> list[str]:
-        found = self.known.get(run)
-        if found is not None:
-            return found
         n = len(run)
         best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
         for j in range(1, n + 1):
@@ -97,87 +100,104 @@ class Segmenter:
         while j:
             out.append(run[back[j]:j])
             j = back[j]
-        if len(self.known) >= self.room:
-            self.known.clear()
-        self.known[run] = out[::-1]
-        return self.known[run]
-
-    def words(self, host: str) -> list[str]:
-        return [w for run in RUN.findall(host or "") for w in (self.split(run) if run[0].isalpha() else ["#"])]
+        return out[::-1]
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """The features: words of the host, tokens of the path (numbers alike)."""
-        return ([f"h:{w}" for w in self.words(host)]
-                + [f"p:{t if t[0].isalpha() else '#'}" for t in RUN.findall((path or "").lower())])
 
-
-def word_counts(pages: DataFrame, vocabulary: int = VOCABULARY, seeds=SEEDS) -> dict[str, int]:
-    """The most frequent words of all pages' texts (tags removed) and paths. Not
-    of the hosts: their names are run together. A seed counts as at least the
-    median word, as it may be missing from clean texts."""
+def word_counts(pages: DataFrame, seeds=SEEDS, seed_share: float = SEED_SHARE) -> tuple[DataFrame, int]:
+    """Every word of all pages' texts (tags removed) and paths with its count (w,
+    n), staged, and the number of all words. Not of the hosts: their names are run
+    together. A seed counts as at least ``seed_share`` of the words."""
     cut = parts(pages)
     plain = F.regexp_replace(F.coalesce(F.col("html").cast("string"), F.lit("")), "<[^>]*>", " ") if "html" in pages.columns else F.lit("")
     source = F.lower(F.concat_ws(" ", plain, "path"))
-    words = cut.select(F.explode_outer(F.split(source, r"[^\p{L}]+")).alias("w")).where((F.length("w") > 0) & (F.length("w") <= LONGEST))
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(vocabulary)
-    counts = {r["w"]: r["n"] for r in top.collect()}
-    usual = sorted(counts.values())[len(counts) // 2] if counts else 1
-    return counts | {w: max(counts.get(w, 0), usual) for w in seeds}
-
-
-def _features(segmenter: Segmenter, rows):
-    return [segmenter.tokens(r["host"], r["path"]) if r else [] for r in rows]
-
-
-class Judge:
-    """Naive Bayes over the tokens; unknown tokens say nothing."""
-
-    def __init__(self, value):
-        counts, self.prior, weights = value
-        self.segmenter, self.weights = Segmenter(counts), weights
-
-    def judge(self, host: str, path: str) -> dict:
-        tokens = self.segmenter.tokens(host, path)
-        x = self.prior + sum(self.weights.get(t, 0.0) for t in tokens)
-        score = 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, x)))) if tokens else 0.0
-        return {"words": [t[2:] for t in tokens if t[0] == "h"], "score": score}
-
-
-def _judge(judge: Judge, rows):
-    return [judge.judge(r["host"], r["path"]) for r in rows]
-
-
-def fit(cut: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens: int = TOKENS) -> tuple[float, dict[str, float]]:
-    """(log odds of the classes, log odds of each token): block against allow."""
-    shared = Shared(cut.sparkSession, counts, Segmenter)
-    found = staged(cut.select(per_text(shared, _features, "array<string>", pa.list_(pa.string()))(F.struct("host", "path")).alias("t"))
-                   .withColumn("block", F.arrays_overlap("t", F.array(*[F.lit(f"h:{s}") for s in seeds]))))
+    words = cut.select(F.explode(F.split(source, r"[^\p{L}]+")).alias("w")).where(F.length("w") > 0)
+    counts = staged(words.groupBy("w").agg(F.count("*").alias("n")))
+    total = (counts.agg(F.sum("n").alias("n")).first()["n"] or 0) + 1
+    least = max(1, math.ceil(total * seed_share))
+    wanted = pages.sparkSession.createDataFrame([(w, least) for w in sorted(set(seeds))], "w string, n long")
+    return staged(counts.unionByName(wanted).groupBy("w").agg(F.max("n").alias("n"))), total
+
+
+def _split(total: int, rows):
+    return [Segmenter({f["w"]: f["n"] for f in r["found"] or ()}, total).split(r["run"]) for r in rows]
+
+
+def host_words(hosts: DataFrame, counts: DataFrame, total: int, longest: int = LONGEST) -> DataFrame:
+    """host, words: the words of each of the distinct ``hosts`` in order; digits are #.
+
+    Each distinct run of letters meets the counts of its substrings of up to
+    ``longest`` letters, then Viterbi splits it."""
+    pieces = staged(hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit(f"({LETTERS}|{DIGITS})"), 1)).alias("at", "run")))
+    named = pieces.where(F.col("run").rlike(NAME)).select("run").distinct()
+    begun = named.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("i"))
+    sized = begun.select("run", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("run") - F.col("i") + 1))).alias("l"))
+    known = (sized.select("run", F.expr("substring(run, i, l)").alias("w")).join(counts, "w")
+             .groupBy("run").agg(F.collect_set(F.struct("w", "n")).alias("found")))
+    shared = Shared(hosts.sparkSession, total)
+    split = per_text(shared, _split, "array<string>", pa.list_(pa.string()))
+    words = staged(named.join(known, "run", "left").select("run", split(F.struct("run", "found")).alias("words")))
+    own = pieces.join(words, "run", "left").select("host", F.struct("at", F.coalesce("words", F.array(F.lit("#"))).alias("words")).alias("piece"))
+    ordered = F.transform(F.sort_array(F.collect_list("piece")), lambda p: p["words"])
+    return own.groupBy("host").agg(F.flatten(ordered).alias("words"))
+
+
+def features(cut: DataFrame, counts: DataFrame, total: int, seeds=SEEDS) -> DataFrame:
+    """Staged: page_id, host, path, words (of the host), tokens (of the path), block
+    (the training label). Numbers are alike: #."""
+    words = host_words(cut.select("host").distinct(), counts, total)
+    tokens = F.transform(F.regexp_extract_all(F.lower("path"), F.lit(f"({LETTERS}|{DIGITS})"), 1), lambda t: F.when(t.rlike(NAME), t).otherwise("#"))
+    both = cut.join(words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+    return staged(both.select("page_id", "host", "path", "words", tokens.alias("tokens"),
+                              F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds])).alias("block")))
+
+
+def _marked(tokens: str, mark: str) -> Column:
+    """Tokens of hosts (h:) and of paths (p:), told apart."""
+    return F.transform(tokens, lambda t: F.concat(F.lit(mark), t))
+
+
+def fit(found: DataFrame) -> tuple[float, DataFrame | None]:
+    """The log odds of the classes, block against allow, and a staged table
+    (token, weight) with those of every token in units of UNIT; no table if the
+    pages are of one class."""
     pages = {r["block"]: r["n"] for r in found.groupBy("block").agg(F.count("*").alias("n")).collect()}
-    by = (found.select("block", F.explode("t").alias("token")).groupBy("token")
-          .agg(F.count_if("block").alias("b"), F.count_if(~F.col("block")).alias("a")))
-    rows = by.orderBy(F.desc(F.col("a") + F.col("b")), "token").limit(tokens).collect()
     if not pages.get(True) or not pages.get(False):
-        return (-30.0 if not pages.get(True) else 30.0), {}
-    b, a = sum(r["b"] for r in rows) + len(rows), sum(r["a"] for r in rows) + len(rows)
-    weights = {r["token"]: math.log((r["b"] + 1) / b) - math.log((r["a"] + 1) / a) for r in rows}
-    return math.log(pages[True] / pages[False]), weights
+        return (30.0 if pages.get(True) else -30.0), None
+    by = staged(found.select("block", F.explode(F.concat(_marked("words", "h:"), _marked("tokens", "p:"))).alias("token")).groupBy("token")
+                .agg(F.count_if("block").alias("b"), F.count_if(~F.col("block")).alias("a")))
+    all_ = by.agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+    b, a = (all_["b"] or 0) + all_["n"], (all_["a"] or 0) + all_["n"]
+    weight = F.log((F.col("b") + 1) / F.lit(float(b))) - F.log((F.col("a") + 1) / F.lit(float(a)))
+    return math.log(pages[True] / pages[False]), staged(by.select("token", F.round(weight / UNIT).cast("long").alias("weight")))
+
+
+def _sums(found: DataFrame, weights: DataFrame, key: str, tokens: str, mark: str, name: str) -> DataFrame:
+    """The summed weights of each distinct ``key`` (a host or a path)."""
+    each = (found.where(F.size(tokens) > 0).select(key, tokens).distinct()
+            .select(key, F.explode(_marked(tokens, mark)).alias("token")))
+    return each.join(weights, "token").groupBy(key).agg(F.sum("weight").alias(name))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, vocabulary: int = VOCABULARY, tokens: int = TOKENS,
-                threshold: float = THRESHOLD) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, seed_share: float = SEED_SHARE, threshold: float = THRESHOLD) -> DataFrame:
     """page_id, host, path, rule, verdict, words (of the host), score (of blocking).
 
     A null url, or one without ://, has an empty host and path, matches no rule
-    and is allowed with score 0; so is any url without letters or digits.
-    Repeated rows give repeated results; other columns are ignored; an empty
-    table gives an empty result."""
-    counts = word_counts(pages, vocabulary, seeds)
-    cut = parts(pages.select("page_id", "url"))
-    prior, weights = fit(cut, counts, seeds, tokens)
-    shared = Shared(pages.sparkSession, (counts, prior, weights), Judge)  # bounded by vocabulary and tokens
-    kind = pa.struct([("words", pa.list_(pa.string())), ("score", pa.float64())])
-    judged = cut.withColumn("j", per_text(shared, _judge, "struct<words:array<string>,score:double>", kind)(F.struct("host", "path")))
+    and is allowed with score 0; so is any url without letters or digits. If every
+    host holds a seed, or none does, there is nothing to learn from: all other
+    pages get a score near 1, or near 0. Repeated rows give repeated results;
+    other columns are ignored; an empty table gives an empty result."""
+    counts, total = word_counts(pages, seeds, seed_share)
+    found = features(parts(pages.select("page_id", "url")), counts, total, seeds)
+    prior, weights = fit(found)
+    judged = found.withColumn("sum", F.lit(0).cast("long"))
+    if weights is not None:
+        judged = (found.join(_sums(found, weights, "host", "words", "h:", "of_host"), "host", "left")
+                  .join(_sums(found, weights, "path", "tokens", "p:", "of_path"), "path", "left")
+                  .withColumn("sum", F.coalesce("of_host", F.lit(0)) + F.coalesce("of_path", F.lit(0))))
+    x = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(prior) + F.col("sum") * F.lit(UNIT)))
+    score = F.when(F.size("words") + F.size("tokens") == 0, 0.0).otherwise(1.0 / (1.0 + F.exp(-x)))
     rule, verdict = matched(rules)
-    return judged.select("page_id", "host", "path", rule.alias("rule"),
-                         F.coalesce(verdict, F.when(F.col("j.score") > threshold, "block").otherwise("allow")).alias("verdict"),
-                         F.concat_ws(" ", "j.words").alias("words"), F.col("j.score").alias("score"))
+    return judged.withColumn("score", score).select(
+        "page_id", "host", "path", rule.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("score") > threshold, "block").otherwise("allow")).alias("verdict"),
+        F.concat_ws(" ", "words").alias("words"), "score")

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
+from collections import Counter
 
 import pytest
 
@@ -71,3 +73,51 @@ def test_no_seeds_repeated_rows_and_empty_table(spark, pages):
     assert urls.filter_urls(plain.where("false")).count() == 0
     named = pages.withColumn("host", pages["url"]).withColumn("rule", pages["url"])
     assert urls.filter_urls(named).count() == pages.count()
+
+
+def test_scores_match_brute_force(pages):
+    """Counts, segmentation and naive Bayes again, over collected rows."""
+    rows = pages.collect()
+    words = Counter(w for r in rows for w in re.split(r"[\W\d_]+", f"{re.sub('<[^>]*>', ' ', r['html'] or '')} {parse(r['url'])[1]}".lower()) if w)
+    total = sum(words.values()) + 1
+    least = max(1, math.ceil(total * urls.SEED_SHARE))
+    s = urls.Segmenter({**words, **{w: max(least, words[w]) for w in urls.SEEDS}}, total)
+
+    def tokens(url):
+        host, path = parse(url)
+        return ([f"h:{w}" for t in re.findall(r"[^\W\d_]+|\d+", host) for w in (s.split(t) if t[0].isalpha() else ["#"])]
+                + [f"p:{t if t[0].isalpha() else '#'}" for t in re.findall(r"[^\W\d_]+|\d+", path.lower())])
+
+    found = [tokens(r["url"]) for r in rows]
+    block = [any(f"h:{w}" in t for w in urls.SEEDS) for t in found]
+    b, a = (Counter(x for t, y in zip(found, block) if y == z for x in t) for z in (True, False))
+    every = set(b) | set(a)
+    weight = {x: math.log((b[x] + 1) / (b.total() + len(every))) - math.log((a[x] + 1) / (a.total() + len(every))) for x in every}
+    prior = math.log(sum(block) / (len(block) - sum(block)))
+    got = {r["page_id"]: r for r in urls.filter_urls(pages.repartition(5)).collect()}
+    for r, t in zip(rows, found):
+        score = 1 / (1 + math.exp(-max(-30, min(30, prior + sum(weight[x] for x in t))))) if t else 0.0
+        mine = got[r["page_id"]]
+        assert mine["words"] == " ".join(x[2:] for x in t if x[0] == "h")
+        assert mine["score"] == pytest.approx(score, abs=1e-6)
+        rule = judge(*parse(r["url"]))
+        assert mine["verdict"] == (rule[1] if rule else "block" if score > urls.THRESHOLD else "allow")
+
+
+def test_rare_words_change_no_verdict(spark, pages):
+    rare = ["".join(p) for p in itertools.islice(itertools.product("bcdfghjk", "aeiou", "bcdfghjk", "aeiou", "bcdfghjk", "aeiou", "qxzv"), 200_000)]
+    more = spark.createDataFrame([(None, None, " ".join(rare[i:i + 1000])) for i in range(0, len(rare), 1000)], pages.schema)
+
+    def verdicts(df):
+        return sorted((r["page_id"], r["verdict"], r["words"]) for r in urls.filter_urls(df).collect() if r["page_id"] is not None)
+
+    assert verdicts(pages.unionByName(more)) == verdicts(pages)
+
+
+def test_long_hosts_and_pages_of_one_class(spark):
+    long = "casinobooks" * 300
+    rows = [(1, f"http://{long}.org/a"), (2, "http://casino.org/b"), (3, "http://casino.net/es/x"), (4, None)]
+    every = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(rows[:3], "page_id long, url string")).collect()}
+    assert len(every) == 3 and all(r["score"] > 0.99 for r in every.values())
+    some = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert "casino" in some[1]["words"].split() and some[4]["verdict"] == "allow" and some[4]["score"] == 0.0
