@@ -123,7 +123,8 @@ def _split(total: int, rows):
 
 
 def host_words(hosts: DataFrame, counts: DataFrame, total: int, longest: int = LONGEST) -> DataFrame:
-    """host, words: the words of each of the distinct ``hosts`` in order; digits are #.
+    """Staged, so that Spark knows its size: host, words (of each of the distinct
+    ``hosts`` in order; digits are #).
 
     Each distinct run of letters meets the counts of its substrings of up to
     ``longest`` letters, then Viterbi splits it."""
@@ -138,7 +139,7 @@ def host_words(hosts: DataFrame, counts: DataFrame, total: int, longest: int = L
     words = staged(named.join(known, "run", "left").select("run", split(F.struct("run", "found")).alias("words")))
     own = pieces.join(words, "run", "left").select("host", F.struct("at", F.coalesce("words", F.array(F.lit("#"))).alias("words")).alias("piece"))
     ordered = F.transform(F.sort_array(F.collect_list("piece")), lambda p: p["words"])
-    return own.groupBy("host").agg(F.flatten(ordered).alias("words"))
+    return staged(own.groupBy("host").agg(F.flatten(ordered).alias("words")))
 
 
 def features(cut: DataFrame, counts: DataFrame, total: int, seeds=SEEDS) -> DataFrame:
@@ -172,10 +173,10 @@ def fit(found: DataFrame) -> tuple[float, DataFrame | None]:
 
 
 def _sums(found: DataFrame, weights: DataFrame, key: str, tokens: str, mark: str, name: str) -> DataFrame:
-    """The summed weights of each distinct ``key`` (a host or a path)."""
+    """Staged: the summed weights of each distinct ``key`` (a host or a path)."""
     each = (found.where(F.size(tokens) > 0).select(key, tokens).distinct()
             .select(key, F.explode(_marked(tokens, mark)).alias("token")))
-    return each.join(weights, "token").groupBy(key).agg(F.sum("weight").alias(name))
+    return staged(each.join(weights, "token").groupBy(key).agg(F.sum("weight").alias(name)))
 
 
 def filter_urls(pages: DataFrame, rules=RULES, seeds=SEEDS, seed_share: float = SEED_SHARE, threshold: float = THRESHOLD) -> DataFrame:
