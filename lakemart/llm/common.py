@@ -21,10 +21,12 @@ def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, gives the optimizer file
     sizes. The folder comes from ``spark.checkpoint.dir``; a local one is set
-    only when the session names none (tests)."""
+    only when a local session names none (tests): on a cluster that is an error."""
     spark = df.sparkSession
     folder = ensure_checkpoint_dir(spark)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         folder = ensure_checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
